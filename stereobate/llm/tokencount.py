@@ -33,6 +33,8 @@ BATCH_BYTES = 2 << 20
 #: Cells of the compiled table at which a worker drops it and compiles anew what it needs.
 MOST_CELLS = 20_000_000
 NONE = -1
+#: States are told apart exactly by up to this many continuations of a trie node.
+FEW = 16
 
 
 def vocabulary(model_path: str) -> dict[str, float]:
@@ -81,23 +83,26 @@ class Transducer:
         self.column = np.full(len(self.chars), NONE, np.int32)
         self.column_class: list[int] = []
         self.fits: dict[tuple[int, int], bool] = {}
+        self.histories: dict[int, tuple] = {}
+        self.continued: dict[int, list[int] | None] = {}
+        self.stands: dict[tuple[int, int], int | None] = {}
+        self.alike: dict[tuple, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.width = max(64, len(self.column_class))
+        self.width = -(-max(64, len(self.column_class)) // 32) * 32
         self.states: list[tuple] = []
         self.state_number: dict[tuple, int] = {}
-        self.next = np.full((1024, self.width), NONE, np.int32)
-        self.emit = np.zeros((1024, self.width), np.int8)
+        # A cell holds where the next state's row begins and, in its last five bits, the emitted count plus 16.
+        self.table = np.full((1024, self.width), NONE, np.int32)
         self.start = self.state((0, ((0, NONE, 0),)))
         self.first = self.run_state(1)
 
     def state(self, key: tuple) -> int:
         """Number of the state: (spaces at its end, ((trie node, token before it, count less the present one), ...))."""
         if key not in self.state_number:
-            if len(self.states) == len(self.next):
-                self.next = np.concatenate((self.next, np.full_like(self.next, NONE)))
-                self.emit = np.concatenate((self.emit, np.zeros_like(self.emit)))
+            if len(self.states) == len(self.table):
+                self.table = np.concatenate((self.table, np.full_like(self.table, NONE)))
             self.state_number[key] = len(self.states)
             self.states.append(key)
         return self.state_number[key]
@@ -107,28 +112,76 @@ class Transducer:
         new = 1 if spaces == 1 else 0  # a run's tokens are as few as its length allows
         return self.state((spaces, ((0, self.number[SPACE], 0), (self.children[0][SPACE], NONE, -new))))
 
-    def merged(self, text: str) -> list[str]:
-        """The tokens of a short text of known characters, by merging."""
-        parts = list(text)
-        while True:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    def history(self, piece: int) -> tuple[tuple[bool, list], tuple[bool, list]]:
+        """How merging builds a piece: whether it does, and (score, first symbol, last symbol) after each merge."""
+        if piece not in self.histories:
+            parts = list(self.pieces[piece])
+            steps = [(np.inf, parts[0], parts[-1])]
+            while True:
+                best, at = None, 0
+                for i in range(len(parts) - 1):
+                    score = self.scores.get(parts[i] + parts[i + 1])
+                    if score is not None and (best is None or score > best):
+                        best, at = score, i
+                if best is None:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                steps.append((best, parts[0], parts[-1]))
+            self.histories[piece] = (len(parts) == 1, steps)
+        return self.histories[piece]
 
     def fit(self, left: int, right: int) -> bool:
-        if left == NONE:
-            return True
+        """Whether the two tokens stay apart when their joined text is merged; NONE on the left always does.
+
+        Both sides' merges take place in the order of their scores; the tokens fit unless a merge across their
+        border is the best one at some time. Of equal merges the leftmost comes first.
+        """
+        whole, right_steps = self.history(right)
+        if left == NONE or not whole:
+            return whole
         pair = (left, right)
         if pair not in self.fits:
-            x, y = self.pieces[left], self.pieces[right]
-            self.fits[pair] = self.merged(x + y) == [x, y]
+            left_steps = self.history(left)[1]
+            i = j = 0
+            while True:
+                across = self.scores.get(left_steps[i][2] + right_steps[j][1])
+                x = left_steps[i + 1][0] if i + 1 < len(left_steps) else -np.inf
+                y = right_steps[j + 1][0] if j + 1 < len(right_steps) else -np.inf
+                if across is not None and across > x and across >= y:
+                    self.fits[pair] = False
+                    break
+                if x == y == -np.inf:
+                    self.fits[pair] = True
+                    break
+                if x >= y:
+                    i += 1
+                else:
+                    j += 1
         return self.fits[pair]
 
+    def below(self, node: int) -> list[int] | None:
+        """Pieces that continue a trie node, or None if there are many."""
+        if node not in self.continued:
+            found, todo = [], list(self.children[node].values())
+            while todo and len(found) <= FEW:
+                at = todo.pop()
+                if self.piece_at[at] != NONE:
+                    found.append(self.piece_at[at])
+                todo += self.children[at].values()
+            self.continued[node] = None if len(found) > FEW else found
+        return self.continued[node]
+
+    def growing(self, node: int, before: int) -> int | None:
+        """A token that stands for ``before`` wherever only growth from ``node`` counts; None if nothing can grow."""
+        if (node, before) not in self.stands:
+            pieces = self.below(node)
+            if pieces is None:
+                self.stands[node, before] = before
+            else:
+                allowed = tuple(p for p in pieces if self.fit(before, p))
+                self.stands[node, before] = self.alike.setdefault((node, allowed), before) if allowed else None
+        return self.stands[node, before]
+
     def compile(self, state: int, column: int) -> None:
         spaces, entries = self.states[state]
         kind = self.column_class[column]
@@ -146,15 +199,13 @@ class Transducer:
                 if child is None:
                     continue
                 piece = self.piece_at[child]
-                if token is None and piece != NONE and (before == NONE or self.fit(before, piece)):
-                    if before != NONE or self.merged(self.pieces[piece]) == [self.pieces[piece]]:
-                        token, count = piece, less + 1
-                if self.children[child]:
+                if token is None and piece != NONE and self.fit(before, piece):
+                    token, count = piece, less + 1
+                if self.children[child] and (before := self.growing(child, before)) is not None:
                     grown.append((child, before, less))
             emitted = count
             to = self.state((0, tuple(sorted([(0, token, 0), *((node, before, less - count) for node, before, less in grown)]))))
-        self.next[state, column] = to
-        self.emit[state, column] = emitted
+        self.table[state, column] = to * self.width << 5 | emitted + 16
 
     def columns(self, classes: np.ndarray) -> np.ndarray:
         """Table columns of character classes; new classes get one."""
@@ -163,10 +214,7 @@ class Transducer:
             self.column[c] = len(self.column_class)
             self.column_class.append(int(c))
         if len(self.column_class) > self.width:
-            more = max(64, len(self.column_class) - self.width)
-            self.next = np.hstack((self.next, np.full((len(self.next), more), NONE, np.int32)))
-            self.emit = np.hstack((self.emit, np.zeros((len(self.emit), more), np.int8)))
-            self.width += more
+            self.clear()
         n = len(self.column_class)
         self.beside = np.zeros((n, n), bool)
         for i, x in enumerate(self.column_class):
@@ -183,25 +231,26 @@ class Transducer:
         """Read ``columns[begin:end]`` of every lane from its state: the end states and the counts."""
         order = np.argsort(begin - end, kind="stable")
         length = (end - begin)[order]
-        at, now, count = begin[order], state[order].astype(np.int64), np.zeros(len(order), np.int64)
+        at, row, count = begin[order], (state[order] * self.width).astype(np.int64), np.zeros(len(order), np.int64)
         live = len(length) - np.searchsorted(length[::-1], np.arange(length[0] if len(length) else 0), "right")
-        for n in live:
-            cell = now[:n] * self.width + columns[at[:n]]
-            to = self.next.ravel().take(cell)
-            if (to == NONE).any():
-                for c in np.unique(cell[to == NONE]):
+        cells = self.table.ravel()
+        for step, n in enumerate(live):
+            cell = row[:n] + columns.take(at[:n] + step)
+            to = cells.take(cell)
+            if to.min() < 0:
+                for c in np.unique(cell[to < 0]):
                     self.compile(int(c) // self.width, int(c) % self.width)
-                to = self.next.ravel().take(cell)
-            count[:n] += self.emit.ravel().take(cell)
-            now[:n] = to
-            at[:n] += 1
-        out_state, out_count = np.empty_like(now), np.empty_like(count)
-        out_state[order], out_count[order] = now, count
+                cells = self.table.ravel()
+                to = cells.take(cell)
+            count[:n] += to & 31
+            np.right_shift(to, 5, out=row[:n])
+        out_state, out_count = np.empty_like(row), np.empty_like(count)
+        out_state[order], out_count[order] = row // self.width, count - 16 * length
         return out_state, out_count
 
     def counts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Tokens of each text."""
-        if self.next.size > MOST_CELLS:
+        if self.table.size > MOST_CELLS:
             self.clear()
         codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
