@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from stereobate.plans import lines, mesh
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+for _plans in (mesh, lines):
+    QUERIES |= _plans.R.queries
+    ORACLE_SQL |= _plans.R.sql
