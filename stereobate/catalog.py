@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from stereobate.plans import catalogues, lines, mesh, rulesets
+from stereobate.plans import catalogues, evidence, lines, mesh, rulesets
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-for _plans in (mesh, lines, catalogues, rulesets):
+for _plans in (mesh, lines, catalogues, rulesets, evidence):
     QUERIES |= _plans.R.queries
     ORACLE_SQL |= _plans.R.sql
