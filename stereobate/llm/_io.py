@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+BATCH_ROWS = 1000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -37,3 +38,11 @@ def drop(df: DataFrame) -> None:
         jvm = df.sparkSession._jvm
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with at most BATCH_ROWS rows in a batch that Python gets: texts may be long, so a batch is kept small."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df

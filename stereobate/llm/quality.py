@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stereobate.llm._io import small_batches
 from stereobate.llm._text import _powers, chunks
 
 BITS, DIM, EPOCHS, RATE = 17, 8, 12, 1.0
@@ -123,7 +124,7 @@ def fold(doc_id: Column, n: int) -> Column:
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """Train on labelled documents outside fold 0 of 5: the rows first by a hash of their id, up to the bounds."""
     clear = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"), F.max("quality").alias("most")).where("label = most").drop("most")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     taught = clear.where(fold(F.col("doc_id"), 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(4 * SAMPLE)
     sizes = docs.join(F.broadcast(taught), "doc_id").groupBy("doc_id").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size"))
     first = sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).toPandas()
@@ -139,6 +140,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 def score(documents: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all, if None) of every document and ``score``, the probability of label 1."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    small_batches(documents)
     docs = documents if keep is None else documents.select(*keep, "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double"
     return docs.mapInArrow(_score(shared), schema)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stereobate.llm._io import drop, save
+from stereobate.llm._io import drop, save, small_batches
 from stereobate.llm._text import chunks, grams, mix, word_hashes
 
 LEAST, GRAM, SPAN = 50, 8, 24
@@ -147,7 +147,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     Passages of one document don't overlap: what touches is one passage. ``other_id`` is the smallest document that
     was found to hold a part of it. Copies of a whole text are one passage each.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     texts = save(docs.select("doc_id", F.md5("text").alias("text_key"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("n")).where(F.col("n") >= LEAST), "texts")
     classes = save(texts.groupBy("text_key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")), "classes")
     copies = texts.join(classes.where("low <> high"), "text_key").select(F.col("doc_id").alias("doc"), F.lit(0).alias("start"), F.col("n").alias("end"), F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other"))

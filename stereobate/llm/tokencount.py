@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from stereobate.llm._io import small_batches
 from stereobate.llm._text import chunks
 
 SPACE = "▁"
@@ -313,6 +314,6 @@ def token_counts(documents: DataFrame, model_path: str, limit: int = 4096) -> Da
     The vocabulary (some ten thousand entries) is read here and broadcast; executors need no tokenizer file.
     """
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary(model_path))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.mapInArrow(_count(shared), "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
