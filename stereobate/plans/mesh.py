@@ -174,10 +174,10 @@ def d18_geometry_key(spark, sf):
             CASE WHEN (az < h) <> (bz < h) THEN {'x': ax + (h-az)/(bz-az)*(bx-ax), 'y': ay + (h-az)/(bz-az)*(by_-ay)} END,
             CASE WHEN (bz < h) <> (cz < h) THEN {'x': bx + (h-bz)/(cz-bz)*(cx-bx), 'y': by_ + (h-bz)/(cz-bz)*(cy-by_)} END,
             CASE WHEN (cz < h) <> (az < h) THEN {'x': cx + (h-cz)/(az-cz)*(ax-cx), 'y': cy + (h-cz)/(az-cz)*(ay-cy)} END], lambda s: s IS NOT NULL) AS s FROM c)
-    SELECT model_id, face_id, tri, round(s[1].x, 6) AS x0, round(s[1].y, 6) AS y0, round(s[2].x, 6) AS x1, round(s[2].y, 6) AS y1 FROM e""")
+    SELECT model_id, face_id, tri, round(s[1].x, 9) AS x0, round(s[1].y, 9) AS y0, round(s[2].x, 9) AS x1, round(s[2].y, 9) AS y1 FROM e""")
 def d11_section(spark, sf):
     s = T.section(_tri_points(spark, sf), 1.0)
-    return s.select("model_id", "face_id", "tri", *[F.round(c, 6).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    return s.select("model_id", "face_id", "tri", *[F.round(c, 9).alias(c) for c in ("x0", "y0", "x1", "y1")])
 
 
 @R.add("d12_plan_area", with_("tri_points") + """,
