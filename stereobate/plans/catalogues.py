@@ -102,10 +102,10 @@ def c11_covers(spark, sf):
 @R.add("c12_top_surface", with_("tri_points") + f""", {_PLAN_POINTS},
     t AS (SELECT *, (by_-cy)*(ax-cx)+(cx-bx)*(ay-cy) AS d FROM tri_points WHERE face_id % 20 = 0),
     m AS (SELECT point_id, face_id, az, bz, cz, ((by_-cy)*(x-cx)+(cx-bx)*(y-cy))/d AS u, ((cy-ay)*(x-cx)+(ax-cx)*(y-cy))/d AS v FROM pp, t WHERE abs(d) > 1e-12)
-    SELECT pp.point_id, round(max(u*az+v*bz+(1-u-v)*cz), 6) AS z FROM pp LEFT JOIN m ON m.point_id = pp.point_id AND u >= 0 AND v >= 0 AND u + v <= 1 GROUP BY pp.point_id""")
+    SELECT pp.point_id, round(max(u*az+v*bz+(1-u-v)*cz), 9) AS z FROM pp LEFT JOIN m ON m.point_id = pp.point_id AND u >= 0 AND v >= 0 AND u + v <= 1 GROUP BY pp.point_id""")
 def c12_top_surface(spark, sf):
     tris = T.face_corners(T.triangulate(corners(spark, sf).where("face_id % 20 = 0")), vertices(spark, sf))
-    return S.top_surface(_plan_points(spark, sf), tris, 2.0).select("point_id", F.round("z", 6).alias("z"))
+    return S.top_surface(_plan_points(spark, sf), tris, 2.0).select("point_id", F.round("z", 9).alias("z"))
 
 
 @R.add("c14_t_junctions", with_("edges", "vertices") + """,

@@ -186,7 +186,7 @@ def d11_section(spark, sf):
     p AS (SELECT *, (i+0.5::DOUBLE)*0.5 AS x, (j+0.5::DOUBLE)*0.5 AS y FROM d),
     s AS (SELECT model_id, i, j, (bx-ax)*(y-ay)-(by_-ay)*(x-ax) AS s1, (cx-bx)*(y-by_)-(cy-by_)*(x-bx) AS s2, (ax-cx)*(y-cy)-(ay-cy)*(x-cx) AS s3,
                  (bx-ax)*(cy-ay)-(by_-ay)*(cx-ax) AS w FROM p)
-    SELECT model_id, count(*) AS cells, count(*) * 0.1::DOUBLE AS area FROM (SELECT DISTINCT model_id, i, j FROM s WHERE abs(w) > 1e-12 AND (least(s1,s2,s3) >= 0 OR greatest(s1,s2,s3) <= 0)) GROUP BY model_id""")
+    SELECT model_id, count(*) AS cells, count(*) * 0.25::DOUBLE AS area FROM (SELECT DISTINCT model_id, i, j FROM s WHERE abs(w) > 1e-12 AND (least(s1,s2,s3) >= 0 OR greatest(s1,s2,s3) <= 0)) GROUP BY model_id""")
 def d12_plan_area(spark, sf):
     return T.plan_cells(_tri_points(spark, sf), 0.5).groupBy("model_id").agg(F.count("*").alias("cells"), (F.count("*") * 0.25).alias("area"))
 
