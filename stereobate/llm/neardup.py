@@ -5,8 +5,8 @@ large group of copies costs as much as one text. Nodes that agree on all rows of
 compares each with its hub only, the node that meets most others, and its nodes meet again in buckets of two, three
 and four neighbouring bands together, where only the closer ones still meet. That is linear in the size of a group.
 Candidates whose signatures agree enough are compared on their full sets, and components of the confirmed links are
-found by alternating large-star and small-star. Deepest buckets that are still crowded and hold several components
-are compared across those components, block by block.
+found by alternating large-star and small-star. Crowded buckets of single bands that hold several components are then
+compared across those components, block by block, so that every two nodes that share a band are compared or linked.
 
 Null and empty texts have no shingles and no links. Rows that share a doc_id are one node. A row without a doc_id
 takes part in nothing: its component_id is null and it is kept.
@@ -192,8 +192,8 @@ def near_duplicates(documents: DataFrame, percent: int = 85, k: int = 5) -> Data
     links = _verified(pairs, nodes, docs, k, percent)
     labels = save(components(links), "labels")
 
-    # Crowded buckets of the deepest level that several components share are compared across components, block by block.
-    named = deeper[-1].where(F.col("n") > SMALL).select("band", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # Crowded buckets of single bands that several components share are compared across components, block by block.
+    named = member.where(F.col("n") > SMALL).select("band", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
     if not open_.isEmpty():
         by = named.join(open_, "band")

@@ -346,6 +346,23 @@ def test_crowded_buckets_find_the_links_of_a_large_group(spark):
     assert sum(got[i] != c for i, (_, c) in want.items()) == 0
 
 
+def test_crowded_buckets_compare_nodes_that_are_far_from_the_hub(spark):
+    rng, rows, pairs = random.Random(5), [], []
+    for g in range(2):
+        base = [f"{w}{g}" for w in prose(rng, 600).split()]
+        cut = lambda at, n: " ".join(base[:at] + base[at + n :])  # noqa: B023, E731
+        rows += [(1000 * g + 100 + i, cut(rng.randrange(576), 24)) for i in range(300)]
+        # The shorter text of a pair lacks so much of the base that it is near its longer one only.
+        for i in range(8):
+            x, y = 1000 * g + 2 * i, 1000 * g + 2 * i + 1
+            rows += [(x, cut(10 + 60 * i, 118)), (y, cut(45 + 60 * i, 50))]
+            pairs.append((x, y))
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]) for x, y in pairs)
+    assert [x for x, y in pairs if got[x] != got[y]] == []
+
+
 def test_licences_equal_brute_force(spark):
     texts = ["Licensed under CC BY-NC 4.0.", "the GNU General\nPublic License, version 3, and the MIT License; mit-license", None, "", "apache", "Apache licens", "é apache license ü", "cc by cc by", "by cc", "x " * 3000 + "Apache License"]
     d = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, texts[0], 1)], "doc_id long, text string, score int")
