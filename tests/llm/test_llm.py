@@ -136,6 +136,35 @@ def test_leaks_verbatim_and_with_other_numbers(spark):
     assert decontam.leaks(d.limit(0), bench).count() == 0 and decontam.leaks(d, bench.limit(0)).count() == 0
 
 
+def test_changed_words_cost_only_themselves(spark):
+    rng = random.Random(12)
+    items = [prose(rng, n) for n in (21, 16, 40, 9)] + ["Compute 12 + 7 - 3 * 4 / 2 + 9 - 5 and round"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows, want = [], {}
+    for i, item in enumerate(items):
+        w = item.split()
+        for changed in (0, 1, 2):
+            other = list(w)
+            for at in sorted(rng.sample(range(len(w) // 2), changed)):
+                other[at] = "zzz"
+            doc = len(rows)
+            rows.append((doc, f"{prose(rng, 30)} {' '.join(other)} {prose(rng, 9000 if i == 2 else 30)}"))
+            ours, theirs = (re.findall(r"\w+", x.lower()) for x in (item, " ".join(other)))
+            equal = "".join("01"[a == b] for a, b in zip(ours, theirs))
+            covered = sum(len(m) for m in re.findall("1{4,}", equal))
+            if "1" * 8 in equal and covered >= min(13, math.ceil(0.8 * len(ours))):
+                want[doc, i] = covered
+    got = {(r.doc_id, r.item_id): r.covered for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == want and len(want) > 8
+
+
+def test_copied_beginning_with_other_fillers_behind_is_a_leak(spark):
+    item = "lay 4 bricks beside the tall wall and then paint every one of them blue before the 4 masons come back with more sand"
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    text = " ".join(item.split()[:18]) + " 9 dogs ran off"
+    assert decontam.leaks(spark.createDataFrame([(0, text)], "doc_id long, text string"), bench).first().covered == 18
+
+
 def test_inconsistent_slots_are_no_leak(spark):
     item = "take 7 stones and 7 sticks then lay the 7 stones round the 7 sticks in one neat ring on sand"
     bench = spark.createDataFrame([(0, item)], "item_id long, text string")
