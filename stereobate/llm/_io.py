@@ -8,14 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 4000, 8 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``, or a folder of this process where it is unset (tests)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The shared folder: ``spark.checkpoint.dir``. Only a local session (tests) may do without, in a folder of its own."""
+    conf = spark.sparkContext.getConf()
+    root = conf.get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if "dir" not in _LOCAL:
         _LOCAL["dir"] = tempfile.mkdtemp(prefix="stereobate-")
     return _LOCAL["dir"]
@@ -41,8 +44,13 @@ def drop(df: DataFrame) -> None:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, with at most BATCH_ROWS rows in a batch that Python gets: texts may be long, so a batch is kept small."""
+    """``df``; batches that Python gets hold at most BATCH_ROWS rows and BATCH_BYTES bytes, as texts may be long.
+
+    The settings are the session's, since a plan reads them only when it runs; a smaller value of the user stays.
+    """
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(str(conf.get(f"spark.sql.execution.arrow.{key}")).rstrip("b"))
+        if now <= 0 or now > most:
+            conf.set(f"spark.sql.execution.arrow.{key}", str(most))
     return df

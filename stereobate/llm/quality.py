@@ -6,7 +6,9 @@ average gives the label. The vectors and the softmax are trained by numpy stocha
 documented sample of labelled rows; scoring then needs one weight for each bucket, since average and output are linear.
 
 Null and empty texts score as a text without features. Labels other than 0 and 1, null labels, and labelled doc_ids
-that several labels contradict teach nothing. Without any labelled row every score is 0.5.
+that several labels contradict teach nothing. Without any labelled row every score is 0.5. Equal texts score alike,
+repeated rows each for itself; other columns of the documents never enter. Texts are scored whole, in runs of about a
+megabyte, a longer one alone. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stereobate.llm._io import small_batches
 from stereobate.llm._text import _powers, chunks
@@ -99,7 +102,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 5) ->
     return vectors @ (output[:, 1] - output[:, 0]), float(bias[1] - bias[0])
 
 
-def _score(shared):
+def _score(shared, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         for batch in batches:
@@ -111,7 +114,7 @@ def _score(shared):
                     count += np.diff(at)
                 logit = np.clip(total / np.maximum(count, 1) + bias, -60, 60)
                 kept = [batch.column(i).slice(row, end - row) for i in range(batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-logit)))], [*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-logit)))], [*batch.schema.names, column])
 
     return run
 
@@ -121,29 +124,46 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The trained weights and bias, from all examples of the bounded sample."""
+    examples = [(y.as_py(), np.frombuffer(i.as_py(), np.int32), np.frombuffer(t.as_py(), np.int32)) for b in batches for y, i, t in zip(*(b.column(c) for c in ("label", "ids", "times")))]
+    examples.sort(key=lambda x: (x[1].tobytes(), x[2].tobytes(), x[0]))
+    if examples:
+        weights, bias = train(examples)
+        yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"])
+
+
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """Train on labelled documents outside fold 0 of 5: the rows first by a hash of their id, up to the bounds."""
+    """Train on labelled documents outside fold 0 of 5: those first by a hash of their id, up to the bounds.
+
+    Labels meet the documents before anything is bounded. A text that doesn't fit the rest of SAMPLE_BYTES is passed
+    over, unless it would be the only one. Of several texts of one doc_id that of the least hash is taken. Training
+    runs in one task over this bounded sample; the driver gets the weights only.
+    """
     clear = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"), F.max("quality").alias("most")).where("label = most").drop("most")
-    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    taught = clear.where(fold(F.col("doc_id"), 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(4 * SAMPLE)
-    sizes = docs.join(F.broadcast(taught), "doc_id").groupBy("doc_id").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size"))
-    first = sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).toPandas()
-    ids = first.doc_id[first["size"].cumsum() <= SAMPLE_BYTES].tolist()
-    chosen = F.broadcast(documents.sparkSession.createDataFrame([(int(i),) for i in ids], "doc_id long").join(taught, "doc_id"))
-    rows = docs.join(chosen, "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"]).select("label", "text").mapInArrow(_examples, "label int, ids binary, times binary").collect()
-    rows.sort(key=lambda r: (bytes(r.ids), bytes(r.times), r.label))
-    if not rows:
+    docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ours = docs.where(fold(F.col("doc_id"), 5) != 0)
+    sizes = ours.select("doc_id", F.octet_length("text").alias("size")).join(clear, "doc_id").groupBy("doc_id", "label").agg(F.max("size").alias("size"))
+    chosen, left = [], SAMPLE_BYTES
+    for r in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect():  # three numbers a row
+        if r["size"] <= left or not chosen:
+            chosen, left = [*chosen, (r.doc_id, r.label)], max(left - r["size"], 0)
+    if not chosen:
         return np.zeros(1 << BITS, np.float32), 0.0
-    return train([(r.label, np.frombuffer(r.ids, np.int32), np.frombuffer(r.times, np.int32)) for r in rows])
+    taught = F.broadcast(documents.sparkSession.createDataFrame(chosen, "doc_id long, label int"))
+    one = ours.join(taught, "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    examples = one.select("label", "text").mapInArrow(_examples, "label int, ids binary, times binary")
+    row = examples.coalesce(1).mapInArrow(_fitted, "weights binary, bias double").first()
+    return np.frombuffer(row.weights, np.float32), row.bias
 
 
-def score(documents: DataFrame, model: tuple[np.ndarray, float], keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, if None) of every document and ``score``, the probability of label 1."""
+def score(documents: DataFrame, model: tuple[np.ndarray, float], column: str = "score") -> DataFrame:
+    """All columns of every document and ``column``, the probability of label 1; ``column`` must be a new name."""
+    if column in documents.columns:
+        raise ValueError(f"documents have a column {column} already")
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    small_batches(documents)
-    docs = documents if keep is None else documents.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double"
-    return docs.mapInArrow(_score(shared), schema)
+    schema = StructType([*documents.schema.fields, StructField(column, DoubleType())])
+    return small_batches(documents).mapInArrow(_score(shared, column), schema)
 
 
 def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -71,6 +71,15 @@ def test_one_huge_group_is_split_over_the_shards(spark):
     assert len(n) == 8 and n.max() - n.min() <= 2
 
 
+def test_large_ids_beside_a_null_and_many_equal_rows(spark):
+    big = [(2**60 + 2 * i + 1, f"text {i % 5}") for i in range(50)] + [(None, "text 0"), (7, None), (-(2**63), "")]
+    out = shards.shard_by_bytes(spark.createDataFrame(big, "doc_id long, text string").coalesce(1), 4)
+    assert sorted(r.doc_id or 0 for r in out.collect()) == sorted(i or 0 for i, _ in big)
+    same = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("all alike").alias("text"))
+    n = shards.shard_by_bytes(same, 8).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("top")).collect()
+    assert len(n) == 8 and max(r.n for r in n) - min(r.n for r in n) <= 2 and all(r.top == r.n - 1 for r in n)
+
+
 def brute_targets(sizes):
     names = sorted([s for s in sizes if s is not None]) + [s for s in sizes if s is None]
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
@@ -305,6 +314,32 @@ def test_quality_learns_and_survives_missing_labels(spark, empty):
     assert quality.quality(empty, labels).count() == 0
 
 
+def test_quality_reads_labels_that_come_last_and_clashing_columns(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 30) + (" bad%%" * 5 if i % 2 else ""), 0.5, "x") for i in range(200)] + [(10, "another text of a known id", 0.1, "y")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, score double, label string")
+    far = spark.range(100_000, 140_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    labels = far.union(spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int"))
+    got = quality.quality(d, labels).collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == 201 and sum(r.predicted == 1 - r.doc_id % 2 for r in held) >= 0.9 * len(held)
+    assert quality.score(d, (np.zeros(1 << quality.BITS, np.float32), 0.0), "q").columns == [*d.columns, "q"]
+
+
+def test_python_batches_are_bounded_by_bytes(spark):
+    d = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1 << 20).alias("text")).coalesce(1)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    from stereobate.llm._io import small_batches
+
+    assert max(r.n for r in small_batches(d).mapInArrow(sizes, "n long").collect()) <= 10
+
+
 def test_repeats_cover_what_brute_force_finds(docs, empty):
     got = collections.defaultdict(list)
     for r in repeats.repeated_passages(docs).collect():
