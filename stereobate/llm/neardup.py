@@ -1,24 +1,26 @@
 """Near-duplicate documents by MinHash: universal hash minima, banding, verification, components.
 
 Every text becomes the set of its distinct 5-word shingles. Texts with the same set are one node from then on, so a
-large group of copies costs as much as one text. Nodes that agree on all rows of a band meet in a bucket. A bucket of few nodes compares them all; a crowded one
-compares each with its hub only, the node that meets most others, and its nodes meet again in buckets of two, three
-and four neighbouring bands together, where only the closer ones still meet. That is linear in the size of a group.
-Candidates whose signatures agree enough are compared on their full sets, and components of the confirmed links are
-found by alternating large-star and small-star. Crowded buckets of single bands that hold several components are then
-compared across those components, block by block, so that every two nodes that share a band are compared or linked.
+large group of copies costs as much as one text. Nodes that agree on all rows of a band meet in a bucket. First every
+node of a bucket is compared with the two hubs of it, its smallest and its largest node; that is linear in the size of a
+bucket, and most copies are linked by it. Then, in buckets whose other nodes lie in several components still, all
+nodes of different components are compared, block by block. So every two nodes that share a band are compared or
+are in one component already, whatever the size of the bucket; no size is treated in another way.
+
+A comparison is of signatures first, one byte of each minimum: at the limit a pair fails there with a chance under one
+in a hundred million (``SLACK`` below the limit, over 96 rows). Those that pass are compared on their full sets, and
+only these links count. Components are found by alternating large-star and small-star.
 
 Null and empty texts have no shingles and no links. Rows that share a doc_id are one node. A row without a doc_id
-takes part in nothing: its component_id is null and it is kept.
+takes part in nothing: its component_id is null and it is kept. Other columns are left alone. Long texts are hashed
+whole, a text of over a megabyte alone; an empty table gives an empty result. Ties have no influence on components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -27,13 +29,11 @@ from stereobate.llm._io import drop, save, small_batches
 from stereobate.llm._text import chunks, grams, mix, word_hashes
 
 BANDS, ROWS = 24, 4
-#: Signatures agree in about the similarity's share of rows; 0.15 below the limit is about four standard deviations.
-SLACK = 0.15
-#: Buckets up to this size compare all their nodes directly.
-SMALL = 8
-#: Crowded buckets are split by up to this many neighbouring bands together.
-LEVELS = 4
+#: Signatures agree in about the similarity's share of rows; so far below the limit a pair is not compared further.
+SLACK = 0.25
 BLOCK = 256
+#: Ids of documents whose sets are wanted are broadcast up to this number (8 bytes each); beyond, they are joined.
+BROADCAST_IDS = 2_000_000
 
 _FINGERPRINT = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
 
@@ -85,7 +85,7 @@ def _fingerprints(k: int):
                         pa.array(a.view(np.int64)),
                         pa.array(b.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), flat),
-                        pa.array([x.tobytes() for x in sig], pa.binary()),
+                        pa.array([x.tobytes() for x in (sig & np.uint32(255)).astype(np.uint8)], pa.binary()),
                     ],
                     ["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature"],
                 )
@@ -103,76 +103,107 @@ def _sets(k: int):
     return run
 
 
-def _alike(share: float):
-    """Keeps pairs whose signatures agree in at least ``share`` of their rows."""
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), BANDS * ROWS)
+
+
+def _alike(least: int):
+    """Keeps pairs whose signatures agree in at least ``least`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-                keep = (x == y).mean(axis=1) >= share
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                x, y = _signatures(batch.column("sig_node")), _signatures(batch.column("sig_hub"))
+                yield batch.select(["node", "hub"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return run
 
 
-def _between_components(share: float):
-    """In one block pair of a bucket, pairs from different components whose signatures agree enough."""
+def _across(least: int):
+    """Pairs of different components in each block pair (band, l, r) of a sorted partition whose signatures agree enough.
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            y = np.frombuffer(b"".join(right.signature), np.uint32).reshape(len(right), -1)
-            for x, node, component in zip(left.signature, left.node, left.component):
-                near = np.flatnonzero(((y == np.frombuffer(x, np.uint32)).mean(axis=1) >= share) & (right.component.to_numpy() != component))
-                out += [(min(node, z), max(node, z)) for z in right.node.to_numpy()[near]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    A block pair holds about BLOCK rows of either side, so what waits for the next batch is bounded.
+    """
 
-    return run
+    def pairs(side, node, component, sig):
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for at in range(0, len(left), 32):
+            x = left[at : at + 32]
+            near = ((sig[x][:, None, :] == sig[right][None, :, :]).sum(axis=2) >= least) & (component[x][:, None] != component[right][None, :])
+            i, j = np.nonzero(near)
+            yield node[x[i]], node[right[j]]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(table: pa.Table) -> pa.RecordBatch:
+            side, node, component = (table.column(c).to_numpy() for c in ("side", "node", "component"))
+            sig = _signatures(table.column("signature").combine_chunks())
+            group = np.stack([table.column(c).to_numpy() for c in ("band", "l", "r")])
+            cuts = np.concatenate(([0], np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1, [len(node)]))
+            found = [p for lo, hi in zip(cuts[:-1], cuts[1:]) for p in pairs(side[lo:hi], node[lo:hi], component[lo:hi], sig[lo:hi])]
+            a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+            both = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["node", "hub"])
 
-def _buckets(banded: DataFrame) -> DataFrame:
-    """``node, band, n``: the nodes of every bucket that holds several, and how many it holds."""
-    sizes = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    return banded.join(sizes, "band").select("node", "band", "n")
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                t = pa.Table.from_batches(held)
+                last = np.stack([t.column(c).to_numpy() for c in ("band", "l", "r")])
+                open_ = np.flatnonzero((last != last[:, -1:]).any(axis=0))
+                whole = int(open_[-1]) + 1 if len(open_) else 0
+                if whole:
+                    yield done(t.slice(0, whole))
+                held = t.slice(whole).to_batches()
+        if held:
+            yield done(pa.Table.from_batches(held))
 
+    return run
 
-def _joined_bands(nodes: DataFrame, level: int) -> DataFrame:
-    """``node, band`` with bands of ``level`` neighbouring ones joined, so that only closer nodes meet."""
-    joined = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.lit(level), i, *[F.get("bands", (i + j) % BANDS) for j in range(level)]))
-    return nodes.select("node", F.explode(joined).alias("band"))
 
+def _with_signatures(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (node, hub) with both signatures: the node's comes first, so that a hub's is not sent once for each pair."""
+    sig = lambda c: nodes.select(F.col("node").alias(c), F.col("signature").alias(f"sig_{c}"))
+    return pairs.join(sig("node"), "node").join(sig("hub"), "hub").select("node", "hub", "sig_node", "sig_hub")
 
-def _candidates(member: DataFrame, first: DataFrame) -> DataFrame:
-    """Pairs (a, b) of buckets: all nodes with the bucket's hub and, in buckets up to SMALL, with each other.
 
-    The hub is the node that meets most others in the buckets of ``first``: the original rather than a copy.
-    """
-    met = first.groupBy("node").agg(F.sum("n").alias("met"))
-    crowded = member.where(F.col("n") > SMALL)
-    hubs = crowded.join(met, "node").groupBy("band").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("hub"))
-    star = crowded.join(hubs, "band").select("node", "hub").where("node <> hub")
-    few = member.where(F.col("n") <= SMALL).groupBy("band").agg(F.sort_array(F.collect_set("node")).alias("m"))
-    mesh = few.select(F.explode("m").alias("node"), "m").select("node", F.explode("m").alias("hub")).where("node < hub")
-    return star.unionByName(mesh).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough, written to the shared folder."""
-    sig = nodes.select("node", "signature")
-    joined = pairs.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("sig_a")), "a").join(sig.select(F.col("node").alias("b"), F.col("signature").alias("sig_b")), "b")
-    near = save(joined.select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(percent / 100 - SLACK), "a long, b long"), "alike")
-    ends = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-    sets = save(docs.join(ends, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
-    held = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_y")), "b")
+def _verified(near: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the pairs (node, hub) whose full shingle sets are similar enough, as links (a, b) in the shared folder."""
+    ends = save(near.select(F.col("node").alias("doc_id")).unionByName(near.select(F.col("hub").alias("doc_id"))).distinct(), "ends")
+    few = ends.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    wanted = docs.join(F.broadcast(ends) if few else ends, "doc_id", "left_semi")
+    sets = save(wanted.select("doc_id", "text").mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
+    of = lambda c, x: sets.select(F.col("node").alias(c), F.col("shingles").alias(x))
+    held = near.join(of("node", "set_x"), "node").join(of("hub", "set_y"), "hub")
     # Full sets are compared row by row in the JVM: two long texts at a time, never a batch of them.
     both = F.size(F.array_intersect("set_x", "set_y"))
-    links = save(held.where(100 * both >= percent * (F.size("set_x") + F.size("set_y") - both)).select("a", "b").distinct(), "links")
-    drop(near)
+    alike = held.where(100 * both >= percent * (F.size("set_x") + F.size("set_y") - both))
+    links = save(alike.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "links")
+    drop(ends)
     drop(sets)
     return links
 
 
+def _open_blocks(member: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``band, l, r, side, node, component, signature``: the block pairs of buckets that hold several components yet.
+
+    Hubs have been compared already. The nodes of the largest component of a bucket meet those of all others, and
+    these meet each other; each side is dealt into blocks of about BLOCK nodes.
+    """
+    others = member.where("node <> low and node <> high").select("band", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = others.groupBy("band", "component").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("band").agg(F.count("*").alias("components"), F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("total")).where("components > 1")
+    main = save(main.select("band", F.col("most.component").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("rb"), F.ceil((F.col("total") - F.col("most.size")) / BLOCK).cast("int").alias("lb")), "main")
+    rows = others.join(main, "band").join(nodes.select("node", "signature"), "node")
+    dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    right = F.transform(every("lb"), lambda i: F.struct(F.lit(1).alias("side"), i.alias("l"), dealt("rb", 7).alias("r")))
+    left = F.transform(every("rb"), lambda i: F.struct(F.lit(0).alias("side"), dealt("lb", 8).alias("l"), i.alias("r")))
+    out = rows.withColumn("at", F.explode(F.when(F.col("component") == F.col("main"), right).otherwise(F.concat(left, right))))
+    return out.select("band", "at.l", "at.r", "at.side", "node", "component", "signature")
+
+
 def near_duplicates(documents: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
     """``documents(doc_id, text)`` -> ``(doc_id, n_shingles, component_id, kept)``, one row for each row.
 
@@ -182,35 +213,32 @@ def near_duplicates(documents: DataFrame, percent: int = 85, k: int = 5) -> Data
     docs = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prints = save(docs.mapInArrow(_fingerprints(k), _FINGERPRINT), "prints")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = prints.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("node"))
-    nodes = save(prints.join(classes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"], "left_semi").select(F.col("doc_id").alias("node"), *same, "bands", "signature").dropDuplicates(["node", *same]), "nodes")
-
-    member = save(_buckets(nodes.select("node", F.explode("bands").alias("band"))), "buckets")
-    crowded = nodes.join(member.where(F.col("n") > SMALL).select("node").distinct(), "node", "left_semi")
-    deeper = [save(_buckets(_joined_bands(crowded, level)), f"buckets{level}") for level in range(2, LEVELS + 1)]
-    pairs = reduce(DataFrame.unionByName, [_candidates(m, member) for m in (member, *deeper)]).distinct()
-    links = _verified(pairs, nodes, docs, k, percent)
+    first = prints.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min(F.struct("doc_id", "bands", "signature")).alias("x"))
+    classes = save(first.select(*same, F.col("x.doc_id").alias("node"), "x.bands", "x.signature"), "classes")
+    nodes = classes.select("node", "bands", "signature")
+
+    banded = nodes.select("node", F.explode("bands").alias("band"))
+    # Hubs are a table of their own, so that both sides of the join are dealt out and a crowded band can be split.
+    hubs = save(banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high"), "hubs")
+    member = save(banded.join(hubs, "band"), "buckets")
+    star = member.select("node", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub").distinct()
+    least = int(np.ceil((percent / 100 - SLACK) * BANDS * ROWS))
+    near = save(_with_signatures(star, nodes).mapInArrow(_alike(least), "node long, hub long"), "alike")
+    links = _verified(near, docs, k, percent)
     labels = save(components(links), "labels")
 
-    # Crowded buckets of single bands that several components share are compared across components, block by block.
-    named = member.where(F.col("n") > SMALL).select("band", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-    if not open_.isEmpty():
-        by = named.join(open_, "band")
-        sizes = by.groupBy("band", "component").agg(F.count("*").alias("size"))
-        main = sizes.groupBy("band").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("total"), F.max("size").alias("top"))
-        rows = save(by.join(main, "band").join(nodes.select("node", "signature"), "node"), "open")
-        block = lambda n: F.greatest(F.ceil(n / F.lit(BLOCK)).cast("int"), F.lit(1))
-        rows = rows.withColumn("rb", block(F.col("total"))).withColumn("lb", block(F.col("total") - F.col("top")))
-        right = rows.withColumn("r", F.pmod(F.xxhash64("node", F.lit(7)), F.col("rb")).cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lb") - 1)))
-        left = rows.where("component <> main").withColumn("l", F.pmod(F.xxhash64("node", F.lit(8)), F.col("lb")).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)))
-        cols = ["band", "l", "r", "node", "component", "signature"]
-        more = left.select(cols).groupBy("band", "l", "r").cogroup(right.select(cols).groupBy("band", "l", "r")).applyInPandas(_between_components(percent / 100 - SLACK), "a long, b long").distinct()
-        extra = _verified(save(more, "more"), nodes, docs, k, percent)
-        if not extra.isEmpty():
-            labels = save(components(links.unionByName(extra)), "labels")
-
-    named = classes.join(labels, "node", "left").select(*same, F.coalesce("component", "node").alias("class_component"), F.col("node").alias("class_node"))
+    blocks = _open_blocks(member, labels, nodes).repartition("band", "l", "r").sortWithinPartitions("band", "l", "r")
+    more = save(blocks.mapInArrow(_across(least), "node long, hub long").distinct(), "more")
+    if not more.isEmpty():
+        extra = _verified(more, docs, k, percent)
+        # Only the components that the new links join are named again.
+        name = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+        joined = extra.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).where("a <> b")
+        again = save(components(joined), "again").select(F.col("node").alias("component"), F.col("component").alias("now"))
+        own = classes.select("node").distinct().join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labels = save(own.join(again, "component", "left").select("node", F.coalesce("now", "component").alias("component")), "labels")
+
+    named = save(classes.join(labels, "node", "left").select(*same, F.coalesce("component", "node").alias("class_component")), "named")
     # A doc_id that occurs with several texts is one node, whichever text it was found by.
     out = prints.select("doc_id", *same).join(named, same, "left")
     component = F.coalesce("class_component", "doc_id")
