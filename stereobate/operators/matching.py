@@ -27,28 +27,46 @@ def candidates(a: DataFrame, b: DataFrame, on: list[str], values: dict[str, floa
     return met.select(*on, "a_id", "b_id", sum(gaps[1:], gaps[0]).alias("distance"))
 
 
-def _most(df: pd.DataFrame) -> pd.DataFrame:
-    """A maximum matching by augmenting paths, found without recursion; smaller ids are tried first."""
-    near = {a: sorted(g.b_id) for a, g in df.sort_values(["a_id", "b_id"]).groupby("a_id")}
-    taken: dict = {}
-    for start in sorted(near):
-        came, queue, end = {}, [start], None
-        while queue and end is None:
-            a = queue.pop(0)
-            for b in near[a]:
-                if b not in came:
-                    came[b] = a
-                    if b not in taken:
-                        end = b
-                        break
-                    queue.append(taken[b])
-        mate = {v: k for k, v in taken.items()}
-        while end is not None:
-            a = came[end]
-            before = mate.get(a)
-            taken[end] = a
-            end = before if a != start else None
-    return pd.DataFrame(sorted((a, b) for b, a in taken.items()), columns=["a_id", "b_id"])
+def _layers(near: list[list[int]], mate_a: list[int], mate_b: list[int]) -> list[int] | None:
+    """Distance of each a-node from the free ones over alternating edges, as far as the nearest free b-node; None if none is reached."""
+    layer = [0 if m < 0 else -1 for m in mate_a]
+    rim, ends = [u for u, m in enumerate(mate_a) if m < 0], False
+    while rim and not ends:
+        beyond = []
+        for u in rim:
+            for v in near[u]:
+                owner = mate_b[v]
+                ends |= owner < 0
+                if owner >= 0 and layer[owner] < 0:
+                    layer[owner] = layer[u] + 1
+                    beyond.append(owner)
+        rim = beyond
+    return layer if ends else None
+
+
+def largest_matching(near: list[list[int]], n_b: int) -> list[int]:
+    """Hopcroft and Karp's matching: for each a-node its b-node or -1; ``near[u]`` lists the b-nodes that ``u`` may take."""
+    mate_a, mate_b = [-1] * len(near), [-1] * n_b
+    while (layer := _layers(near, mate_a, mate_b)) is not None:
+        tried = [0] * len(near)
+        for root in [u for u, m in enumerate(mate_a) if m < 0]:
+            path = [root]
+            while path:
+                u = path[-1]
+                if tried[u] == len(near[u]):
+                    path.pop()
+                    continue
+                v = near[u][tried[u]]
+                tried[u] += 1
+                owner = mate_b[v]
+                if owner < 0:
+                    for x in path:  # every node of the path takes the edge it tried last
+                        mate_a[x] = near[x][tried[x] - 1]
+                        mate_b[mate_a[x]] = x
+                    break
+                if layer[owner] == layer[u] + 1:
+                    path.append(owner)
+    return mate_a
 
 
 def match_most(pairs: DataFrame, on: list[str]) -> DataFrame:
@@ -56,26 +74,31 @@ def match_most(pairs: DataFrame, on: list[str]) -> DataFrame:
     schema = pairs.select(*on, "a_id", "b_id").schema
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        out = _most(df)
-        for c in on:
-            out[c] = df[c].iloc[0]
-        return out[[*on, "a_id", "b_id"]]
+        df = df.sort_values(["a_id", "b_id"])
+        (a, a_ids), (b, b_ids) = pd.factorize(df.a_id), pd.factorize(df.b_id)
+        near: list[list[int]] = [[] for _ in a_ids]
+        for u, v in zip(a.tolist(), b.tolist()):
+            near[u].append(v)
+        mates = [(u, v) for u, v in enumerate(largest_matching(near, len(b_ids))) if v >= 0]
+        out = pd.DataFrame({c: df[c].iloc[0] for c in on}, index=range(len(mates)))
+        return out.assign(a_id=[a_ids[u] for u, _ in mates], b_id=[b_ids[v] for _, v in mates])[[*on, "a_id", "b_id"]]
 
     return pairs.groupBy(*on).applyInPandas(run, schema)
 
 
 def match_greedy(pairs: DataFrame, on: list[str]) -> DataFrame:
-    """Nearest pairs first, each id once: ``on, a_id, b_id``."""
+    """Nearest pairs first, then by smaller ids, each id once: ``on, a_id, b_id``."""
     schema = pairs.select(*on, "a_id", "b_id").schema
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        left, right, kept = set(), set(), []
-        for i, row in df.sort_values(["distance", "a_id", "b_id"]).iterrows():
-            if row.a_id not in left and row.b_id not in right:
-                left.add(row.a_id)
-                right.add(row.b_id)
+        df = df.sort_values(["distance", "a_id", "b_id"])
+        used_a, used_b, kept = set(), set(), []
+        for i, (a, b) in enumerate(zip(df.a_id.tolist(), df.b_id.tolist())):
+            if a not in used_a and b not in used_b:
+                used_a.add(a)
+                used_b.add(b)
                 kept.append(i)
-        return df.loc[kept, [*on, "a_id", "b_id"]]
+        return df.iloc[kept][[*on, "a_id", "b_id"]]
 
     return pairs.groupBy(*on).applyInPandas(run, schema)
 

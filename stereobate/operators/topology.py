@@ -190,18 +190,34 @@ def interface_edges(sides: DataFrame) -> DataFrame:
     return owned.groupBy("model_id", "low", "high").agg(F.count("*").alias("edges"))
 
 
-def fan_vertices(tris: DataFrame) -> DataFrame:
+#: Sides opposite to a vertex up to this number are joined to fans within its row; those of a busier vertex by ``components``.
+LOCAL_SIDES = 256
+
+
+def fan_vertices(tris: DataFrame, local_sides: int = LOCAL_SIDES) -> DataFrame:
     """Vertices round which the triangles of a model form more than one fan: ``model_id, vid, fans``.
 
-    Triangles at a vertex are linked where they share a side at it; fans are the components of those links.
+    Every triangle at a vertex links the two other corners; fans are the components of those links. They are local to
+    the vertex, so no graph over the whole fleet is needed, but for vertices that more than ``local_sides`` links meet.
     """
-    at = tris.select("model_id", F.xxhash64("face_id", "tri").alias("t"), F.explode(F.array(F.struct(F.col("a").alias("vid"), F.col("b").alias("p"), F.col("c").alias("q")), F.struct(F.col("b").alias("vid"), F.col("c").alias("p"), F.col("a").alias("q")), F.struct(F.col("c").alias("vid"), F.col("a").alias("p"), F.col("b").alias("q")))).alias("s")).select("model_id", "t", "s.*").where("vid <> p and vid <> q and p <> q").distinct()
-    at = at.withColumn("node", F.xxhash64("model_id", "vid", "t"))
-    spoke = at.select("model_id", "vid", "node", F.explode(F.array("p", "q")).alias("other"))
-    hub = spoke.groupBy("model_id", "vid", "other").agg(F.min("node").alias("b"))
-    links = spoke.join(hub, ["model_id", "vid", "other"]).select(F.col("node").alias("a"), "b")
-    label = components(at.select("node"), links)
-    return at.join(label, "node").groupBy("model_id", "vid").agg(F.countDistinct("component").alias("fans")).where("fans > 1")
+    turn = lambda v, p, q: F.struct(F.col(v).alias("vid"), F.least(p, q).alias("p"), F.greatest(p, q).alias("q"))
+    links = tris.select("model_id", F.explode(F.array(turn("a", "b", "c"), turn("b", "c", "a"), turn("c", "a", "b"))).alias("s")).select("model_id", "s.*").where("vid <> p and vid <> q and p <> q").distinct()
+    sized = links.join(links.groupBy("model_id", "vid").agg(F.count("*").alias("n")).where("n > 1"), ["model_id", "vid"])
+
+    few = sized.where(F.col("n") <= local_sides).groupBy("model_id", "vid").agg(F.collect_list(F.array("p", "q")).alias("sides"))
+    apart = lambda fans, s: F.filter(fans, lambda f: ~F.arrays_overlap(f, s))
+    grown = lambda fans, s: F.array_distinct(F.concat(s, F.flatten(F.filter(fans, lambda f: F.arrays_overlap(f, s)))))
+    joined = F.aggregate("sides", F.expr("cast(array() as array<array<bigint>>)"), lambda fans, s: F.concat(apart(fans, s), F.array(grown(fans, s))))
+    local = few.select("model_id", "vid", F.size(joined).cast("long").alias("fans"))
+
+    many = sized.where(F.col("n") > local_sides).select("model_id", "vid", "p", "q")
+    if many.isEmpty():
+        return local.where("fans > 1")
+    node = lambda c: F.xxhash64("model_id", "vid", c)
+    ends = many.select("model_id", "vid", F.explode(F.array("p", "q")).alias("x")).distinct().withColumn("node", node("x"))
+    label = components(ends.select("node"), many.select(node("p").alias("a"), node("q").alias("b")))
+    busy = ends.join(label, "node").groupBy("model_id", "vid").agg(F.countDistinct("component").alias("fans"))
+    return local.unionByName(busy).where("fans > 1")
 
 
 def dominant_planes(tris: DataFrame, min_area: float) -> DataFrame:

@@ -21,7 +21,23 @@ def c7_match_max(spark, sf):
     return M.match_most(pairs, ["face_id"])
 
 
-@R.add("c9_match_greedy")
+def _greedy_sql(pairs: str) -> str:
+    """Pairs of ``pairs(face_id, a_id, b_id, distance)`` one after another: a pair is kept if it meets no kept one."""
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY face_id ORDER BY distance, a_id, b_id) AS n FROM {pairs}),
+    greedy AS (
+        SELECT face_id, 1 AS n, [a_id] AS ua, [b_id] AS ub FROM ranked WHERE n = 1
+        UNION ALL
+        SELECT g.face_id, r.n, CASE WHEN list_contains(ua, r.a_id) OR list_contains(ub, r.b_id) THEN ua ELSE list_append(ua, r.a_id) END,
+               CASE WHEN list_contains(ua, r.a_id) OR list_contains(ub, r.b_id) THEN ub ELSE list_append(ub, r.b_id) END
+        FROM greedy g JOIN ranked r ON r.face_id = g.face_id AND r.n = g.n + 1),
+    kept AS (SELECT face_id, unnest(ua) AS a_id, unnest(ub) AS b_id FROM greedy QUALIFY n = max(n) OVER (PARTITION BY face_id))"""
+
+
+_OPENING_PAIRS = """p AS (SELECT a.face_id, a.seq AS a_id, b.seq AS b_id, abs(a.lo - b.lo) + abs(a.hi - b.hi) AS distance FROM intervals a JOIN intervals b USING (face_id)
+    WHERE a.seq BETWEEN 1 AND 4 AND b.seq BETWEEN 3 AND 7 AND abs(a.lo - b.lo) <= 6 AND abs(a.hi - b.hi) <= 8)"""
+
+
+@R.add("c9_match_greedy", with_("intervals").replace("WITH ", "WITH RECURSIVE ", 1) + f", {_OPENING_PAIRS}, {_greedy_sql('p')} SELECT face_id, a_id, b_id FROM kept")
 def c9_match_greedy(spark, sf):
     pairs = M.candidates(_openings(spark, sf, 1, 4), _openings(spark, sf, 3, 7), ["face_id"], {"lo": 6.0, "hi": 8.0})
     return M.match_greedy(pairs, ["face_id"])
@@ -34,7 +50,14 @@ def c7_candidates(spark, sf):
     return M.candidates(_openings(spark, sf, 1, 4), _openings(spark, sf, 3, 7), ["face_id"], {"lo": 6.0, "hi": 8.0})
 
 
-@R.add("m2_merge_questions")
+@R.add("m2_merge_questions", with_("intervals").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+    o AS (SELECT face_id, face_id * 100 + seq AS id, lo, hi, 'a' || (face_id * 100 + seq) AS answer FROM intervals WHERE seq BETWEEN 1 AND 3),
+    nw AS (SELECT face_id, face_id * 100 + seq AS id, lo, hi FROM intervals WHERE seq BETWEEN 3 AND 5),
+    p AS (SELECT o.face_id, o.id AS a_id, nw.id AS b_id, abs(o.lo - nw.lo) + abs(o.hi - nw.hi) AS distance FROM o JOIN nw USING (face_id) WHERE abs(o.lo - nw.lo) <= 5 AND abs(o.hi - nw.hi) <= 9),
+    {_greedy_sql('p')}
+    SELECT CASE WHEN k.a_id IS NULL THEN 'v2-' || nw.id ELSE k.a_id::VARCHAR END AS id, o.answer, CASE WHEN k.a_id IS NULL THEN 'new' ELSE 'kept' END AS state
+    FROM nw LEFT JOIN kept k ON k.b_id = nw.id LEFT JOIN o ON o.id = k.a_id
+    UNION ALL SELECT o.id::VARCHAR, o.answer, 'gone v2' FROM o WHERE o.id NOT IN (SELECT a_id FROM kept)""")
 def m2_merge_questions(spark, sf):
     q = lambda lo, hi: _openings(spark, sf, lo, hi).withColumn("id", F.col("face_id") * 100 + F.col("id")).withColumn("answer", F.concat(F.lit("a"), F.col("id")))
     return M.merge_questions(q(1, 3), q(3, 5), ["face_id"], {"lo": 5.0, "hi": 9.0}, "v2")
@@ -226,7 +249,13 @@ def d45_material_groups(spark, sf):
     return T.components(s.select(F.col("face_id").alias("node")), links).groupBy("component").agg(F.count("*").alias("faces")).where("faces > 1")
 
 
-@R.add("e16_ring_cuts")
+@R.add("e16_ring_cuts", with_("corners").replace("WITH ", "WITH RECURSIVE ", 1) + """,
+    q AS (SELECT face_id, list(vid ORDER BY corner) AS v FROM corners GROUP BY face_id HAVING count(*) = 4),
+    sides AS (SELECT face_id, i, least(v[i], v[i % 4 + 1]) AS a, greatest(v[i], v[i % 4 + 1]) AS b, abs(v[i] - v[i % 4 + 1]) % 5 + 1 AS cuts FROM q, range(1, 5) t(i)),
+    links AS (SELECT DISTINCT p.a, p.b, o.a AS oa, o.b AS ob FROM sides p JOIN sides o ON p.face_id = o.face_id AND (p.i + 1) % 4 + 1 = o.i),
+    reach AS (SELECT DISTINCT a, b, a AS ra, b AS rb FROM sides UNION SELECT r.a, r.b, l.oa, l.ob FROM reach r JOIN links l ON l.a = r.ra AND l.b = r.rb),
+    own AS (SELECT a, b, max(cuts) AS cuts FROM sides GROUP BY ALL)
+    SELECT r.a, r.b, max(o.cuts) AS cuts FROM reach r JOIN own o ON o.a = r.ra AND o.b = r.rb GROUP BY ALL""")
 def e16_ring_cuts(spark, sf):
     rows = F.array_sort(F.collect_list(F.struct("corner", "vid")))
     q = corners(spark, sf).groupBy("face_id").agg(F.transform(rows, lambda r: r["vid"]).alias("v")).where("size(v) = 4")

@@ -49,7 +49,13 @@ def e12_merge_panes(spark, sf):
     return O.merge_runs(intervals(spark, sf), ["face_id"], "lo", "hi", 0.15)
 
 
-@R.add("e4_collapse_floors", None)
+@R.add("e4_collapse_floors", with_("intervals").replace("WITH ", "WITH RECURSIVE ", 1) + """,
+    c AS (SELECT face_id, seq, lo, seq AS first, lo AS head FROM intervals WHERE seq = 1
+          UNION ALL
+          SELECT i.face_id, i.seq, i.lo, CASE WHEN abs(i.lo - c.lo) <= 6 AND abs(i.lo - head) <= 6 THEN first ELSE i.seq END,
+                 CASE WHEN abs(i.lo - c.lo) <= 6 AND abs(i.lo - head) <= 6 THEN head ELSE i.lo END
+          FROM c JOIN intervals i ON i.face_id = c.face_id AND i.seq = c.seq + 1)
+    SELECT face_id, first::DOUBLE AS first_level, max(seq)::DOUBLE AS last_level, count(*) AS floors FROM c GROUP BY face_id, first""")
 def e4_collapse_floors(spark, sf):
     return O.collapse_runs(intervals(spark, sf), ["face_id"], "seq", "lo", 6.0)
 

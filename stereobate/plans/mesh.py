@@ -138,7 +138,12 @@ def d5_components(spark, sf):
     return T.components(sides.select(F.col("a").alias("node")).union(sides.select("b")), sides)
 
 
-@R.add("d7_fan_vertices")
+@R.add("d7_fan_vertices", with_("tris").replace("WITH ", "WITH RECURSIVE ", 1) + """,
+    s AS (SELECT model_id, a AS vid, b AS p, c AS q FROM tris UNION SELECT model_id, b, c, a FROM tris UNION SELECT model_id, c, a, b FROM tris),
+    l AS (SELECT * FROM s WHERE vid <> p AND vid <> q AND p <> q), d AS (SELECT * FROM l UNION SELECT model_id, vid, q, p FROM l),
+    reach AS (SELECT DISTINCT model_id, vid, p AS x, p AS r FROM d UNION SELECT reach.model_id, reach.vid, reach.x, d.q FROM reach JOIN d ON d.model_id = reach.model_id AND d.vid = reach.vid AND d.p = reach.r),
+    named AS (SELECT model_id, vid, x, min(r) AS fan FROM reach GROUP BY ALL)
+    SELECT model_id, vid, count(DISTINCT fan) AS fans FROM named GROUP BY model_id, vid HAVING count(DISTINCT fan) > 1""")
 def d7_fan_vertices(spark, sf):
     return T.fan_vertices(_tris(spark, sf))
 

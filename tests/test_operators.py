@@ -212,3 +212,31 @@ def test_streamed_recent_keeps_the_last(spark, tmp_path):
     rows = [(1, dt.datetime(2024, 1, 1, 0, i), i) for i in range(6)]
     got = _replay(spark, tmp_path, rows, "session long, ts timestamp, event_id long", lambda s: E.recent(s, 2), "update")
     assert got[-1].event_ids == [4, 5]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_largest_matching_equals_brute_force(seed):
+    import itertools
+    import random
+
+    rng = random.Random(seed)
+    n, m = rng.randint(1, 6), rng.randint(1, 6)
+    near = [sorted(rng.sample(range(m), rng.randint(0, m))) for _ in range(n)]
+    best = max(sum(v in near[u] for u, v in enumerate(p) if v is not None) for p in itertools.permutations([*range(m), *[None] * n], n))
+    got = M.largest_matching(near, m)
+    taken = [v for v in got if v >= 0]
+    assert len(taken) == best == len(set(taken)) and all(v < 0 or v in near[u] for u, v in enumerate(got))
+
+
+def test_matching_of_a_long_chain_uses_no_recursion():
+    n = 20_000
+    near = [[u, u + 1] for u in range(n)] + [[0]]
+    assert sum(v >= 0 for v in M.largest_matching(near, n + 1)) == n + 1
+
+
+def test_fans_of_busy_vertices_equal_those_of_others(spark):
+    rows = [(0, 7 * f + t, 0, 100 * f + t + 1, 100 * f + t + 2) for f in range(3) for t in range(6)]
+    tris = spark.createDataFrame(rows, "model_id long, face_id long, a long, b long, c long").withColumn("tri", F.lit(1))
+    want = [(0, 0, 3)]
+    for sides in (2, 256):
+        assert [tuple(r) for r in T.fan_vertices(tris, sides).collect()] == want
