@@ -3,13 +3,17 @@
 Suffixes are kept at minimisers only: a position whose hash of ``GRAM`` words is the least of ``SPAN`` neighbouring
 ones. Both are chosen so that every passage of ``LEAST`` words holds, in both documents, a common minimiser with at
 least ``KEY`` words of the passage behind it. Suffixes whose first ``KEY`` words occur in one document only are
-dropped; the rest are range-sorted by content over the cluster, compared with their neighbours from other documents,
-and matches are extended to the left and right. A second comparison inside each sorted partition orders the suffixes
-of a key by what stands to their left. Partition borders are compared in a small job of their own.
+dropped; the rest are range-sorted by content over the cluster. In the sorted array the suffixes that agree in ``r``
+words behind their key are an interval; there each is compared with its neighbours from other documents in the order of
+the words to its left, for every ``r``. That is the longest extension to the left for each one to the right, so every
+window of LEAST words that another document holds is found. A key of more than ``CROWDED`` suffixes is not put in one
+task: its windows are found by hashes of the left and right words, aggregated over the cluster, with equal results.
 
 Texts that are equal byte for byte are one suffix source: their documents repeat as a whole. Words are lower-cased
 (A-Z). Null and empty texts, and texts under ``LEAST`` words, repeat nothing. Rows that share a doc_id are one
-document. Where a text repeats a few words over and over, only the first of its overlapping equal suffixes is kept.
+document, rows without one take no part. Runs that repeat a few words are suffixes like others, so that they are found
+in their full length. Long texts are read whole, a text of over a megabyte alone. Of several documents that hold a
+passage the smallest found is named. An empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -25,9 +29,10 @@ from stereobate.llm._text import chunks, grams, mix, word_hashes
 
 LEAST, GRAM, SPAN = 50, 8, 24
 KEY = LEAST - SPAN + 1
-LEFT, RIGHT = SPAN, LEAST - KEY
-ROWS_A_PARTITION = 40_000
-_SUFFIX = "key long, doc long, pos int, ahead binary, behind binary"
+REACH = LEAST - KEY
+ROWS_A_PARTITION, CROWDED = 40_000, 20_000
+_SUFFIX = "key long, doc long, pos int, ahead binary, behind binary, n_ahead int, n_behind int"
+_SPAN = "doc long, start int, end int, other long"
 
 
 def _least_of_window(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -60,11 +65,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fits = pos < np.diff(first_long)[text]
             text, pos = text[fits], pos[fits]
             key = long_[first_long[text] + pos]
-            order = np.lexsort((pos, key, text))
-            text, pos, key = text[order], pos[order], key[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | (pos[1:] - pos[:-1] >= KEY)
-            yield pa.RecordBatch.from_arrays([pa.array(key[fresh].view(np.int64)), pa.array(ids[row + text[fresh]].astype(np.int64)), pa.array(pos[fresh].astype(np.int32))], ["key", "doc", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[row + text].astype(np.int64)), pa.array(pos.astype(np.int32))], ["key", "doc", "pos"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,15 +81,15 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fits = pos < np.diff(first)[text]
             pos, text = pos[fits], text[fits]
             here = (at[:-1][text] + pos)[:, None]
-            ahead = here + KEY + np.arange(RIGHT)
-            behind = here - 1 - np.arange(LEFT)
+            ahead = here + KEY + np.arange(REACH)
+            behind = here - 1 - np.arange(REACH)
             padded = np.concatenate((small, np.zeros(1, ">u4")))
             ahead = padded[np.where(ahead < at[1:][text][:, None], ahead, -1)]
             behind = padded[np.where(behind >= at[:-1][text][:, None], behind, -1)]
             ids = batch.column("doc_id").to_numpy()[row + text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whole[first[text] + pos].view(np.int64)), pa.array(ids), pa.array(pos.astype(np.int32)), pa.array([x.tobytes() for x in ahead], pa.binary()), pa.array([x.tobytes() for x in behind], pa.binary())],
-                ["key", "doc", "pos", "ahead", "behind"],
+                [pa.array(whole[first[text] + pos].view(np.int64)), pa.array(ids), pa.array(pos.astype(np.int32)), pa.array([x.tobytes() for x in ahead], pa.binary()), pa.array([x.tobytes() for x in behind], pa.binary()), *(pa.array((x != 0).sum(axis=1).astype(np.int32)) for x in (ahead, behind))],
+                ["key", "doc", "pos", "ahead", "behind", "n_ahead", "n_behind"],
             )
 
 
@@ -98,50 +99,63 @@ def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), x.shape[1], same.argmin(axis=1))
 
 
-def _matches(key: np.ndarray, doc: np.ndarray, ahead: np.ndarray, behind: np.ndarray, order: np.ndarray):
-    """For suffixes in this order: (suffix, other, left, right) with the next suffix of another document, both ways.
+def _longest_left(group: np.ndarray, doc: np.ndarray, rank: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix the most words to its left that one of another document in its group has too, and that suffix.
 
-    Also the suffixes at either end that have none beside them in one direction, as the rows go on elsewhere.
+    ``rank`` orders the words to the left; the best is one of the two neighbours from other documents in that order.
     """
-    d = doc[order]
-    n = len(d)
-    change = np.flatnonzero(d[1:] != d[:-1]) + 1
-    before = np.repeat(np.concatenate(([0], change)), np.diff(np.concatenate(([0], change, [n])))) - 1
-    after = np.repeat(np.concatenate((change, [n])), np.diff(np.concatenate(([0], change, [n]))))
-    at = np.concatenate((np.arange(n)[before >= 0], np.arange(n)[after < n]))
-    other = np.concatenate((before[before >= 0], after[after < n]))
-    a, b = order[at], order[other]
-    same = key[a] == key[b]
-    a, b = a[same], b[same]
-    right, left = _agree(ahead[a], ahead[b]), _agree(behind[a], behind[b])
-    long_ = right + left + KEY >= LEAST
-    return a[long_], b[long_], left[long_], right[long_], order[(before < 0) | (after >= n)]
+    order = np.lexsort((doc, rank, group))
+    n, d, g = len(order), doc[order], group[order]
+    change = np.flatnonzero((d[1:] != d[:-1]) | (g[1:] != g[:-1])) + 1
+    begin, end = np.concatenate(([0], change)), np.concatenate((change, [n]))
+    best, other = np.full(n, -1), np.full(n, -1)
+    for beside, inside in ((begin - 1, begin > 0), (end, end < n)):
+        beside = np.repeat(np.where(inside, beside, 0), end - begin)
+        ok = np.repeat(inside, end - begin)
+        ok &= g[beside] == g
+        x, y = order[ok], order[beside[ok]]
+        left = _agree(behind[x], behind[y])
+        more = left > best[x]
+        best[x[more]], other[x[more]] = left[more], y[more]
+    return best, other
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matching spans of a sorted partition, and (with ``key``) the suffixes at its borders."""
+    """Spans of a partition sorted by key and the words behind it, that another document holds too."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
     t = pa.Table.from_batches(held)
     key, doc, pos = (t.column(c).to_numpy() for c in ("key", "doc", "pos"))
     ahead, behind = (np.frombuffer(b"".join(t.column(c).to_pylist()), ">u4").reshape(len(key), -1) for c in ("ahead", "behind"))
-    sides = np.ascontiguousarray(behind).view(f"S{4 * LEFT}").ravel()
-    spans, edge = [], None
-    for order in (np.arange(len(key)), np.lexsort((doc, sides, key))):
-        a, b, left, right, ends = _matches(key, doc, ahead, behind, order)
-        spans.append((doc[a], pos[a] - left, pos[a] + KEY + right, doc[b]))
-        edge = ends if edge is None else edge
+    rank = np.unique(np.ascontiguousarray(behind).view(f"S{4 * REACH}").ravel(), return_inverse=True)[1]
+    common = np.where(key[1:] == key[:-1], _agree(ahead[1:], ahead[:-1]), -1)
+    seen, spans = np.full(len(key), -1), []
+    for right in range(REACH, -1, -1):
+        group = np.concatenate(([0], np.cumsum(common < right)))
+        left, other = _longest_left(group, doc, rank, behind)
+        hit = np.flatnonzero((left + right >= REACH) & (left > seen))
+        seen[hit] = left[hit]
+        spans.append((doc[hit], pos[hit] - left[hit], pos[hit] + KEY + right, doc[other[hit]]))
     d, s, e, o = (np.concatenate(x) for x in zip(*spans))
-    none = lambda kind: pa.nulls(len(d), kind)
-    yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(o), none(pa.int64()), none(pa.int32()), none(pa.binary()), none(pa.binary())], ["doc", "start", "end", "other", "key", "pos", "ahead", "behind"])
-    x = t.take(pa.array(edge)).combine_chunks()
-    none = lambda kind: pa.nulls(len(edge), kind)
-    col = lambda c: pa.concat_arrays(x.column(c).chunks) if x.column(c).num_chunks else pa.array([], x.column(c).type)
-    yield pa.RecordBatch.from_arrays([col("doc"), none(pa.int32()), none(pa.int32()), none(pa.int64()), col("key"), col("pos"), col("ahead"), col("behind")], ["doc", "start", "end", "other", "key", "pos", "ahead", "behind"])
+    yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(o)], ["doc", "start", "end", "other"])
 
 
-def repeated_passages(documents: DataFrame) -> DataFrame:
+def _crowded_spans(rows: DataFrame) -> DataFrame:
+    """The same spans for suffixes of crowded keys: windows with ``o`` words left of the key, grouped by their hash."""
+
+    def window(o: int):
+        there = (F.col("n_behind") >= o) & (F.col("n_ahead") >= REACH - o)
+        words = [F.expr(f"substring(behind, 1, {4 * o})"), F.expr(f"substring(ahead, 1, {4 * (REACH - o)})")]
+        return F.when(there, F.struct(F.lit(o).alias("o"), F.xxhash64("key", F.lit(o), *words).alias("h"), F.xxhash64(*words, "key").alias("h2")))
+
+    each = rows.select("doc", "pos", F.explode(F.array(*[window(o) for o in range(REACH + 1)])).alias("w")).where("w is not null").select("doc", "pos", "w.*")
+    shared = save(each.groupBy("h", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high"), "windows")
+    met = each.join(shared, ["h", "h2"]).withColumn("start", F.col("pos") - F.col("o"))
+    return met.select("doc", "start", (F.col("start") + LEAST).alias("end"), F.when(F.col("doc") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other"))
+
+
+def repeated_passages(documents: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """``(doc_id, start_word, end_word, n_words, other_id)``: the passages of LEAST words or more that other documents hold.
 
     Passages of one document don't overlap: what touches is one passage. ``other_id`` is the smallest document that
@@ -153,16 +167,16 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     copies = texts.join(classes.where("low <> high"), "text_key").select(F.col("doc_id").alias("doc"), F.lit(0).alias("start"), F.col("n").alias("end"), F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("other"))
 
     suffixes = save(docs.mapInArrow(_suffixes, "key long, doc long, pos int").join(classes.select(F.col("low").alias("doc")).distinct(), "doc", "left_semi"), "suffixes")
-    shared = suffixes.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("key")
+    shared = save(suffixes.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n")).where("low <> high").select("key", "n"), "shared")
     kept = suffixes.join(shared, "key", "left_semi").groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
     rows = save(docs.join(kept.withColumnRenamed("doc", "doc_id"), "doc_id").select("doc_id", "text", "positions").mapInArrow(_contexts, _SUFFIX), "contexts")
     drop(suffixes)
+    # There is at most one crowded key for each CROWDED suffixes.
+    many = F.broadcast(shared.where(F.col("n") > crowded).select("key"))
     n = max(1, -(-rows.count() // ROWS_A_PARTITION))
-    by = ["key", "ahead", "behind", "doc", "pos"]
-    schema = "doc long, start int, end int, other long, key long, pos int, ahead binary, behind binary"
-    found = save(rows.repartitionByRange(n, *by).sortWithinPartitions(*by).mapInArrow(_neighbours, schema), "spans")
-    edges = found.where("key is not null").select("key", "doc", "pos", "ahead", "behind").coalesce(1).sortWithinPartitions(*by).mapInArrow(_neighbours, schema)
-    spans = found.where("key is null").unionByName(edges.where("key is null")).select("doc", "start", "end", "other").distinct().unionByName(copies)
+    sorted_ = rows.join(many, "key", "left_anti").repartitionByRange(n, "key").sortWithinPartitions("key", "ahead")
+    found = save(sorted_.select("key", "doc", "pos", "ahead", "behind").mapInArrow(_neighbours, _SPAN), "spans")
+    spans = found.unionByName(_crowded_spans(rows.join(many, "key", "left_semi"))).distinct().unionByName(copies)
 
     seen = Window.partitionBy("doc").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     runs = Window.partitionBy("doc").orderBy("start", "end")

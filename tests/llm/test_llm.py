@@ -340,12 +340,12 @@ def test_python_batches_are_bounded_by_bytes(spark):
     assert max(r.n for r in small_batches(d).mapInArrow(sizes, "n long").collect()) <= 10
 
 
-def test_repeats_cover_what_brute_force_finds(docs, empty):
+def assert_repeats_equal_brute_force(rows, out):
     got = collections.defaultdict(list)
-    for r in repeats.repeated_passages(docs).collect():
+    for r in out.collect():
         got[r.doc_id].append((r.start_word, r.end_word))
         assert r.other_id != r.doc_id and r.end_word - r.start_word == r.n_words >= 50
-    texts = {r[0]: words(r[1]) for r in corpus() if r[0] is not None}
+    texts = {r[0]: words(r[1]) for r in rows if r[0] is not None}
     seen = collections.defaultdict(set)
     for i, w in texts.items():
         for p in range(len(w) - 49):
@@ -358,9 +358,28 @@ def test_repeats_cover_what_brute_force_finds(docs, empty):
         for a, b in got[i]:
             have |= set(range(a, b))
         assert want == have
+
+
+def test_repeats_cover_what_brute_force_finds(docs, empty):
+    assert_repeats_equal_brute_force(corpus(), repeats.repeated_passages(docs))
     assert repeats.repeated_passages(empty).count() == 0
 
 
+@pytest.mark.parametrize("crowded", [0, 3, repeats.CROWDED])
+def test_repeats_of_periodic_runs_and_of_a_common_middle(spark, crowded):
+    rng = random.Random(9)
+    line = prose(rng, 10)
+    rows = [(i, f"{prose(rng, 30)} {'la di ' * 150} {prose(rng, 40)}") for i in range(2)]
+    rows += [(10 + i, f"{prose(rng, 15)} {(line + ' ') * 40} {prose(rng, 25)}") for i in range(2)]
+    rows += [(20 + i, "x " * (60 + i)) for i in range(2)]
+    # Forty words that all hold, between leads and tails that few share: no pair of neighbours shows all of them.
+    middle, ends = prose(rng, 40), [prose(rng, 12) for _ in range(8)]
+    rows += [(100 + i, f"{prose(rng, 20)} {ends[i % 4]} {middle} {ends[4 + i // 4 % 4]} {prose(rng, 20)}") for i in range(32)]
+    rows += [(200 + i, f"{prose(rng, 20)} {' '.join(ends[0].split()[12 - i :])} {middle} {' '.join(ends[5].split()[: 12 - i])} {prose(rng, 20)}") for i in range(13)]
+    d = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id long, text string, pos int, key int").repartition(5)
+    assert_repeats_equal_brute_force(rows, repeats.repeated_passages(d, crowded))
+
+
 def brute_components(rows, percent, k=5):
     sets = {}
     for r in rows:
