@@ -10,14 +10,16 @@ Equal vectors are one entry with their smallest ids, so a large group of copies
 are searched in cells of neighbouring leaves; cells over ``CELL_ROWS`` rows are split into parts and their queries go
 to each part, so no cell meets in one task. Nothing is capped: leaves count whole.
 
-Vectors that are null, zero, of another length than most, or that hold null or non-finite components take no part, nor do rows without
-an id. Rows that share an id and a vector are one. Empty tables give an empty result.
+Vectors that are null, empty, zero, or that hold null or non-finite components take no part, nor do rows without an id.
+Vectors of different lengths have no cosine, so each length is searched for itself. Rows that share an id and a vector
+are one. Ties go to the smaller id; cosines that agree to DECIMALS decimals are ties. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stereobate.llm._io import save
 
-TREES, LEAF, DEPTH_MOST = 8, 192, 12
-SAMPLE = 20_000
+TREES, LEAF = 8, 192
+#: What the driver holds: vectors of the sample that fits the trees, and the planes of all trees.
+SAMPLE_BYTES, FOREST_BYTES = 32 << 20, 64 << 20
+#: Cosines are ordered by so many decimals: what differs by less is rounding, so that ties go to the smaller id.
+DECIMALS = 12
 #: Queries on which the budget is measured, and the share of their true neighbours that it must reach.
 MEASURED, RECALL = 48, 0.97
 CELL_LEAVES, CELL_ROWS, QUERY_BLOCK = 16, 20_000, 128
@@ -38,7 +43,8 @@ class Forest:
 
     def __init__(self, sample: np.ndarray, n: int, seed: int = 3):
         rng = np.random.default_rng(seed)
-        self.depth = int(np.clip(np.ceil(np.log2(max(n, 1) / LEAF)), 0, min(DEPTH_MOST, max(0, np.log2(max(len(sample), 1) / 4)))))
+        most = np.log2(FOREST_BYTES / (4 * TREES * sample.shape[1]))
+        self.depth = int(np.clip(np.ceil(np.log2(max(n, 1) / LEAF)), 0, max(0, min(most, np.log2(max(len(sample), 1) / 4)))))
         inner = (1 << self.depth) - 1
         dim = sample.shape[1]
         self.normals = np.zeros((TREES, inner, dim), np.float32)
@@ -160,6 +166,15 @@ def _asked(shared, sizes, budget: int):
     return run
 
 
+def _best(name: np.ndarray, rep: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
+    """Places of the ``most`` largest scores of each name, ties to the smaller rep."""
+    order = np.lexsort((rep, -np.round(score, DECIMALS), name))
+    held = name[order]
+    begin = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1]))) if len(held) else np.zeros(0, int)
+    place = np.arange(len(held)) - np.repeat(begin, np.diff(np.concatenate((begin, [len(held)]))))
+    return order[place < most]
+
+
 def _rerank(most: int):
     """The best candidates of each query in the leaves of one cell (a tree holds each vector once)."""
 
@@ -171,23 +186,23 @@ def _rerank(most: int):
                 continue
             rep, v = held[leaf].rep.to_numpy(), _vectors(held[leaf].raw)
             length = np.sqrt(np.einsum("ij,ij->i", v, v))
-            k = min(most + 8, len(rep))
+            k = min(most, len(rep))
             for at in range(0, len(asked), QUERY_BLOCK):
                 block = asked.iloc[at : at + QUERY_BLOCK]
                 q = _vectors(block.raw)
-                near = np.argpartition(-((q @ v.T) / length), k - 1, axis=1)[:, :k]
-                exact = np.einsum("bkd,bd->bk", v[near], q) / (length[near] * np.sqrt(np.einsum("ij,ij->i", q, q))[:, None])
-                names.append(np.repeat(block["query"].to_numpy(), k))
-                reps.append(rep[near].ravel())
-                scores.append(exact.ravel())
+                cosine = (q @ v.T) / (length * np.sqrt(np.einsum("ij,ij->i", q, q))[:, None])
+                # All that may tie with the k-th are scored exactly; the smaller ids among equals stay.
+                i, j = np.nonzero(cosine >= np.partition(cosine, len(rep) - k, axis=1)[:, len(rep) - k, None] - 1e-9)
+                exact = np.einsum("ij,ij->i", v[j], q[i]) / (length[j] * np.sqrt(np.einsum("ij,ij->i", q, q))[i])
+                kept = _best(i, rep[j], exact, most)
+                names.append(block["query"].to_numpy()[i[kept]])
+                reps.append(rep[j[kept]])
+                scores.append(exact[kept])
         if not names:
             return pd.DataFrame({"query": np.zeros(0, np.int64), "rep": np.zeros(0, np.int64), "score": np.zeros(0)})
         name, rep, score = np.concatenate(names), np.concatenate(reps), np.concatenate(scores)
-        order = np.lexsort((rep, -score, name))
-        name, rep, score = name[order], rep[order], score[order]
-        begin = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-        place = np.arange(len(name)) - np.repeat(begin, np.diff(np.concatenate((begin, [len(name)]))))
-        return pd.DataFrame({"query": name, "rep": rep, "score": score})[place < most]
+        kept = _best(name, rep, score, most)
+        return pd.DataFrame({"query": name[kept], "rep": rep[kept], "score": score[kept]})
 
     return run
 
@@ -196,35 +211,40 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5, budget: int | None = No
     """``embeddings(vec_id, embedding)`` -> ``(query_id, rank, vec_id, score)`` for the rows where ``is_query`` holds."""
     spark = embeddings.sparkSession
     e = F.col("embedding")
-    clean = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding"), is_query.alias("asked")).where("vec_id is not null and embedding is not null and size(embedding) > 0")
+    clean = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("asked")).where("vec_id is not null and embedding is not null and size(embedding) > 0")
     clean = clean.where(F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0))
-    dim = clean.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if dim is None:
-        return empty
+    # Vectors have a cosine with those of their own length only; each length is searched for itself.
+    lengths = sorted(r.d for r in clean.where("asked").select(F.size("embedding").alias("d")).distinct().collect())
+    if not lengths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, [_nearest(clean.where(F.size("embedding") == d), d, k, budget) for d in lengths])
+
+
+def _nearest(clean: DataFrame, dim: int, k: int, budget: int | None) -> DataFrame:
+    spark = clean.sparkSession
     keys = [F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2")]
-    rows = save(clean.where(F.size("embedding") == dim.d).select("vec_id", "asked", *keys), "ids").dropDuplicates(["vec_id", "k1", "k2"])
+    rows = save(clean.select("vec_id", "asked", *keys), "ids").dropDuplicates(["vec_id", "k1", "k2"])
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(256))
     part = Window.partitionBy("k1", "k2", "salt").orderBy("vec_id")
     whole = Window.partitionBy("k1", "k2").orderBy("vec_id")
     first = rows.withColumn("salt", salt).withColumn("n", F.row_number().over(part)).where(F.col("n") <= k + 1).withColumn("n", F.row_number().over(whole)).where(F.col("n") <= k + 1)
     classes = save(first.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("rep", F.col("ids")[0]), "classes")
     asked = rows.where("asked").groupBy("k1", "k2").agg(F.lit(True).alias("asked"))
-    reps = clean.where(F.size("embedding") == dim.d).select(F.col("vec_id").alias("rep"), "embedding", *keys).join(classes.select("rep", "k1", "k2"), ["rep", "k1", "k2"], "left_semi").dropDuplicates(["rep", "k1", "k2"])
+    reps = clean.select(F.col("vec_id").alias("rep"), "embedding", *keys).join(classes.select("rep", "k1", "k2"), ["rep", "k1", "k2"], "left_semi").dropDuplicates(["rep", "k1", "k2"])
     reps = save(reps.join(asked, ["k1", "k2"], "left").select("rep", F.col("embedding").alias("vector"), F.coalesce("asked", F.lit(False)).alias("asked")), "reps")
     n = reps.count()
     chance = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    sample = np.array([r.vector for r in reps.where(chance < SAMPLE / n).select("rep", "vector").sort("rep").collect()] or [reps.sort("rep").first().vector])
+    sample = np.array([r.vector for r in reps.where(chance < SAMPLE_BYTES / (8 * dim) / n).select("rep", "vector").sort("rep").collect()] or [reps.sort("rep").first().vector])
     forest = Forest(_unit(sample), n)
     shared = spark.sparkContext.broadcast(forest)
 
     placed = save(reps.select("rep", "vector").mapInArrow(_placed(shared), "rep long, raw binary, tree int, leaf int"), "placed")
-    counts = placed.groupBy("tree", "leaf").count().toPandas()  # at most TREES * 2**DEPTH_MOST rows
+    counts = placed.groupBy("tree", "leaf").count().toPandas()  # a row for each leaf
     sizes = np.zeros((TREES, 1 << forest.depth), np.int64)
     sizes[counts.tree, counts.leaf] = counts["count"]
     if budget is None:
         some = reps.where("asked").orderBy(F.xxhash64("rep", F.lit(4))).limit(MEASURED).collect()
-        asked_vectors = np.array([r.vector for r in some]) if some else np.zeros((0, dim.d))
+        asked_vectors = np.array([r.vector for r in some]) if some else np.zeros((0, dim))
         names = np.array([r.rep for r in some], np.int64)
         best = Window.partitionBy("query").orderBy(F.desc("score"))
         exact = reps.select("rep", "vector").mapInArrow(_exact(spark.sparkContext.broadcast((names, asked_vectors)), k), "query long, score double, raw binary")
@@ -239,16 +259,16 @@ def nearest(embeddings: DataFrame, is_query, k: int = 5, budget: int | None = No
     cell = F.floor(F.col("leaf") / CELL_LEAVES).cast("int")
     cells = placed.groupBy("tree", cell.alias("cell")).agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("parts"))
     asked_cells = hits.groupBy("tree", cell.alias("cell")).agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("blocks"))
-    both = F.broadcast(cells.join(asked_cells, ["tree", "cell"]))  # at most TREES * 2**DEPTH_MOST / CELL_LEAVES rows
+    both = F.broadcast(cells.join(asked_cells, ["tree", "cell"]))  # a row for CELL_LEAVES leaves
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = placed.withColumn("cell", cell).join(both, ["tree", "cell"]).withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int")).withColumn("block", spread("blocks"))
     wanted = hits.withColumn("cell", cell).join(both, ["tree", "cell"]).withColumn("block", F.pmod(F.xxhash64("query"), "blocks").cast("int")).withColumn("part", spread("parts"))
     by = ["tree", "cell", "part", "block"]
     found = wanted.select(*by, "leaf", "query", "raw").groupBy(*by).cogroup(members.select(*by, "leaf", "rep", "raw").groupBy(*by)).applyInPandas(_rerank(k + 1), "query long, rep long, score double")
     best = save(found.groupBy("query", "rep").agg(F.max("score").alias("score")), "best")
-    top = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    top = Window.partitionBy("query").orderBy(F.desc(F.round("score", DECIMALS)), "vec_id")
     listed = best.join(classes.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id")).withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).drop("n")
     asking = rows.where("asked").join(classes.select("k1", "k2", F.col("rep").alias("query")), ["k1", "k2"]).select(F.col("vec_id").alias("query_id"), "query")
-    ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranks = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", DECIMALS)), "vec_id")
     out = asking.join(listed, "query").where("query_id <> vec_id").withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -186,7 +186,7 @@ def vectors(n=900, dim=16):
     x = rng.normal(size=(n, dim)).astype(np.float32)
     x[100:160] = x[100]
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
-    bad = [(2000, None, 0), (2050, [0.0] * dim, 0), (2100, [float("nan")] * dim, 0), (2150, [None] * dim, 0), (2200, [1.0, 2.0], 0), (None, x[0].tolist(), 0)]
+    bad = [(2000, None, 0), (2050, [0.0] * dim, 0), (2100, [float("nan")] * dim, 0), (2150, [None] * dim, 0), (2201, [1.0, 2.0], 0), (None, x[0].tolist(), 0)]
     return rows + bad, x
 
 
@@ -211,6 +211,19 @@ def test_neighbours_are_near_and_exact(spark):
     assert [v for v, _ in got[100]] == [101, 102, 103, 104, 105]
 
 
+def test_ties_go_to_the_smaller_id_and_lengths_keep_apart(spark):
+    rng = np.random.default_rng(4)
+    way = rng.normal(size=8)
+    rows = [(1001 + i, (way * (1.0 + 0.37 * i)).tolist()) for i in range(40)] + [(50, (way + 0.3 * rng.normal(size=8)).tolist())]
+    rows += [(i, rng.normal(size=8).tolist()) for i in range(1, 40)] + [(100 * i, rng.normal(size=3).tolist()) for i in range(1, 4)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = collections.defaultdict(list)
+    for r in ann.nearest(e, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got[50] == [1001, 1002, 1003, 1004, 1005]
+    assert {q: set(v) for q, v in got.items() if q != 50} == {100: {200, 300}, 200: {100, 300}, 300: {100, 200}}
+
+
 def test_few_vectors_give_all_candidates(spark):
     e = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.rank, r.vec_id) for r in ann.nearest(e, F.col("vec_id") % 50 == 0).orderBy("rank").collect()] == [(1, 3), (2, 1)]
