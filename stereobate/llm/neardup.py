@@ -7,9 +7,11 @@ bucket, and most copies are linked by it. Then, in buckets whose other nodes lie
 nodes of different components are compared, block by block. So every two nodes that share a band are compared or
 are in one component already, whatever the size of the bucket; no size is treated in another way.
 
-A comparison is of signatures first, one byte of each minimum: at the limit a pair fails there with a chance under one
-in a hundred million (``SLACK`` below the limit, over 96 rows). Those that pass are compared on their full sets, and
-only these links count. Components are found by alternating large-star and small-star.
+A comparison is of signatures first. With a hub they are one byte of each of the 96 minima that make the bands; at the
+limit a pair fails there with a chance under one in a hundred million (``SLACK`` below the limit). Between components
+they are ``BITS`` one-bit minima, made for the nodes of such buckets only: five deviations below the limit, one in three
+million, so that a group of many texts that are nearly similar enough yields few pairs. Those that pass are compared on
+their full sets, and only these links count. Components are found by alternating large-star and small-star.
 
 Null and empty texts have no shingles and no links. Rows that share a doc_id are one node. A row without a doc_id
 takes part in nothing: its component_id is null and it is kept. Other columns are left alone. Long texts are hashed
@@ -31,7 +33,7 @@ from stereobate.llm._text import chunks, grams, mix, word_hashes
 BANDS, ROWS = 24, 4
 #: Signatures agree in about the similarity's share of rows; so far below the limit a pair is not compared further.
 SLACK = 0.25
-BLOCK = 256
+BLOCK, BITS, DEVIATIONS = 512, 2048, 5
 #: Ids of documents whose sets are wanted are broadcast up to this number (8 bytes each); beyond, they are joined.
 BROADCAST_IDS = 2_000_000
 
@@ -103,6 +105,23 @@ def _sets(k: int):
     return run
 
 
+def _bits(k: int):
+    """One bit of each of BITS minima of every text, packed."""
+    mul, add = (x[BANDS * ROWS :] for x in _coefficients(BANDS * ROWS + BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, starts in chunks(batch.column("text")):
+                sets, first = _shingle_sets(data, starts, k)
+                held = np.flatnonzero(np.diff(first))
+                bits = np.zeros((end - row, BITS), np.uint8)
+                for j in range(BITS if len(held) else 0):
+                    bits[held, j] = np.minimum.reduceat((sets * mul[j] + add[j]) >> np.uint64(32), first[:-1][held]) & np.uint64(1)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row).cast(pa.int64()), pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], ["node", "bits"])
+
+    return run
+
+
 def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), BANDS * ROWS)
 
@@ -119,29 +138,31 @@ def _alike(least: int):
     return run
 
 
-def _across(least: int):
-    """Pairs of different components in each block pair (band, l, r) of a sorted partition whose signatures agree enough.
+def _across(percent: int):
+    """Pairs of different components in each block pair (band, l, r) of a sorted partition whose bits agree enough.
 
-    A block pair holds about BLOCK rows of either side, so what waits for the next batch is bounded.
+    Bits agree with chance (1 + similarity) / 2. A block pair holds about BLOCK rows of either side, so what waits for
+    the next batch is bounded.
     """
+    agree = (1 + percent / 100) / 2
+    least = BITS * agree - DEVIATIONS * (BITS * agree * (1 - agree)) ** 0.5
 
-    def pairs(side, node, component, sig):
+    def pairs(side, node, component, sign):
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        for at in range(0, len(left), 32):
-            x = left[at : at + 32]
-            near = ((sig[x][:, None, :] == sig[right][None, :, :]).sum(axis=2) >= least) & (component[x][:, None] != component[right][None, :])
-            i, j = np.nonzero(near)
-            yield node[x[i]], node[right[j]]
+        if len(left) and len(right):
+            same = (sign[left] @ sign[right].T + BITS) / 2
+            i, j = np.nonzero((same >= least) & (component[left][:, None] != component[right][None, :]))
+            yield node[left[i]], node[right[j]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def done(table: pa.Table) -> pa.RecordBatch:
             side, node, component = (table.column(c).to_numpy() for c in ("side", "node", "component"))
-            sig = _signatures(table.column("signature").combine_chunks())
+            packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(node), -1)
             group = np.stack([table.column(c).to_numpy() for c in ("band", "l", "r")])
             cuts = np.concatenate(([0], np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1, [len(node)]))
-            found = [p for lo, hi in zip(cuts[:-1], cuts[1:]) for p in pairs(side[lo:hi], node[lo:hi], component[lo:hi], sig[lo:hi])]
+            found = [p for lo, hi in zip(cuts[:-1], cuts[1:]) for p in pairs(side[lo:hi], node[lo:hi], component[lo:hi], np.unpackbits(packed[lo:hi], axis=1).astype(np.float32) * 2 - 1)]
             a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
             both = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["node", "hub"])
@@ -168,25 +189,29 @@ def _with_signatures(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sig("node"), "node").join(sig("hub"), "hub").select("node", "hub", "sig_node", "sig_hub")
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents (doc_id, text) of ``ids(doc_id)``; few ids are broadcast, so that texts are not shuffled for them."""
+    ids = save(ids, "ends")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
+
+
 def _verified(near: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the pairs (node, hub) whose full shingle sets are similar enough, as links (a, b) in the shared folder."""
-    ends = save(near.select(F.col("node").alias("doc_id")).unionByName(near.select(F.col("hub").alias("doc_id"))).distinct(), "ends")
-    few = ends.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(ends) if few else ends, "doc_id", "left_semi")
-    sets = save(wanted.select("doc_id", "text").mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
+    ends = near.select(F.col("node").alias("doc_id")).unionByName(near.select(F.col("hub").alias("doc_id"))).distinct()
+    sets = save(_texts_of(ends, docs).mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
     of = lambda c, x: sets.select(F.col("node").alias(c), F.col("shingles").alias(x))
     held = near.join(of("node", "set_x"), "node").join(of("hub", "set_y"), "hub")
     # Full sets are compared row by row in the JVM: two long texts at a time, never a batch of them.
     both = F.size(F.array_intersect("set_x", "set_y"))
     alike = held.where(100 * both >= percent * (F.size("set_x") + F.size("set_y") - both))
     links = save(alike.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "links")
-    drop(ends)
     drop(sets)
     return links
 
 
-def _open_blocks(member: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``band, l, r, side, node, component, signature``: the block pairs of buckets that hold several components yet.
+def _open_blocks(member: DataFrame, labels: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``band, l, r, side, node, component, bits``: the block pairs of buckets that hold several components yet.
 
     Hubs have been compared already. The nodes of the largest component of a bucket meet those of all others, and
     these meet each other; each side is dealt into blocks of about BLOCK nodes.
@@ -195,13 +220,14 @@ def _open_blocks(member: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     sizes = others.groupBy("band", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("band").agg(F.count("*").alias("components"), F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("total")).where("components > 1")
     main = save(main.select("band", F.col("most.component").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("rb"), F.ceil((F.col("total") - F.col("most.size")) / BLOCK).cast("int").alias("lb")), "main")
-    rows = others.join(main, "band").join(nodes.select("node", "signature"), "node")
+    rows = save(others.join(main, "band"), "open")
+    bits = save(_texts_of(rows.select(F.col("node").alias("doc_id")).distinct(), docs).mapInArrow(_bits(k), "node long, bits binary"), "bits")
     dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     right = F.transform(every("lb"), lambda i: F.struct(F.lit(1).alias("side"), i.alias("l"), dealt("rb", 7).alias("r")))
     left = F.transform(every("rb"), lambda i: F.struct(F.lit(0).alias("side"), dealt("lb", 8).alias("l"), i.alias("r")))
-    out = rows.withColumn("at", F.explode(F.when(F.col("component") == F.col("main"), right).otherwise(F.concat(left, right))))
-    return out.select("band", "at.l", "at.r", "at.side", "node", "component", "signature")
+    out = rows.join(bits, "node").withColumn("at", F.explode(F.when(F.col("component") == F.col("main"), right).otherwise(F.concat(left, right))))
+    return out.select("band", "at.l", "at.r", "at.side", "node", "component", "bits")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
@@ -227,8 +253,8 @@ def near_duplicates(documents: DataFrame, percent: int = 85, k: int = 5) -> Data
     links = _verified(near, docs, k, percent)
     labels = save(components(links), "labels")
 
-    blocks = _open_blocks(member, labels, nodes).repartition("band", "l", "r").sortWithinPartitions("band", "l", "r")
-    more = save(blocks.mapInArrow(_across(least), "node long, hub long").distinct(), "more")
+    blocks = _open_blocks(member, labels, docs, k).repartition("band", "l", "r").sortWithinPartitions("band", "l", "r")
+    more = save(blocks.mapInArrow(_across(percent), "node long, hub long").distinct(), "more")
     if not more.isEmpty():
         extra = _verified(more, docs, k, percent)
         # Only the components that the new links join are named again.
