@@ -30,7 +30,7 @@ from stereobate.llm._text import chunks, grams, mix, word_hashes
 LEAST, GRAM, SPAN = 50, 8, 24
 KEY = LEAST - SPAN + 1
 REACH = LEAST - KEY
-ROWS_A_PARTITION, CROWDED = 40_000, 20_000
+ROWS_A_PARTITION, CROWDED = 40_000, 2_000
 _SUFFIX = "key long, doc long, pos int, ahead binary, behind binary, n_ahead int, n_behind int"
 _SPAN = "doc long, start int, end int, other long"
 
