@@ -72,12 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_sharding, op2_mixing, op3_decontamination, op4_nearest_neighbours, op5_lm_scoring, op6_token_counts, op7_quality, op8_repeats, op9_near_duplicates, op10_licences)
 }
 
-_TEMPLATES = ", ".join(
-    f"({n}, '{label}', {str(base).lower()}, {str(first <= i < first + len(must)).lower()}, {i - first}, '{w}')"
-    for n, (text, must, label, base) in enumerate((t.split(), m.split(), x, b) for t, m, x, b in [*((p, p, x, True) for p, x in licences.PHRASES.items()), *((*x, False) for x in licences.NOTICES)])
-    for first in [next(i for i in range(len(text)) if text[i : i + len(must)] == must)]
-    for i, w in enumerate(text)
-)
+_TEMPLATES = ", ".join(f"({n}, '{label}', {base}, {mandatory}, {offset}, '{word}')" for n, label, base, mandatory, offset, word in licences.template_rows())
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": r"""
@@ -107,15 +102,13 @@ ORACLE_SQL: dict[str, str] = {
                   FROM documents),
         listed AS (SELECT row, unnest(words) AS word, unnest(range(len(words))) AS pos FROM split),
         postings AS (SELECT * FROM listed WHERE word IN (SELECT word FROM templates)),
-        rows_with AS (SELECT DISTINCT row FROM postings WHERE word NOT IN ({", ".join(f"'{w}'" for w in sorted(licences.COMMON))})
-                      AND word IN (SELECT word FROM templates WHERE mandatory)),
-        rarity AS (SELECT word, ln(((SELECT count(*) FROM split) + 1) / count(DISTINCT row)) AS idf FROM postings WHERE row IN (SELECT row FROM rows_with) GROUP BY word),
+        rarity AS (SELECT word, ln(((SELECT count(*) FROM split) + 1) / count(DISTINCT row)) AS idf FROM postings GROUP BY word),
         weighted AS (SELECT t.*, coalesce(r.idf, 0) AS idf, sum(t.mandatory::INT) OVER (PARTITION BY template) AS needed,
                             sum(coalesce(r.idf, 0)) OVER (PARTITION BY template) AS weight
                      FROM templates t LEFT JOIN rarity r USING (word)),
         places AS (SELECT p.row, w.template, p.pos - w.off AS start, any_value(w.label) AS label, any_value(w.base) AS base,
                           sum(w.idf) AS in_place, any_value(w.weight) AS weight
-                   FROM postings p JOIN weighted w USING (word) WHERE p.row IN (SELECT row FROM rows_with)
+                   FROM postings p JOIN weighted w USING (word)
                    GROUP BY p.row, w.template, p.pos - w.off HAVING sum(w.mandatory::INT) = any_value(w.needed)),
         found AS (SELECT row, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
                          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,

@@ -460,7 +460,7 @@ def test_crowded_buckets_compare_nodes_that_are_far_from_the_hub(spark):
 
 
 def test_licences_equal_brute_force(spark):
-    texts = ["Licensed under CC BY-NC 4.0.", "the GNU General\nPublic License, version 3, and the MIT License; mit-license", None, "", "apache", "Apache licens", "é apache license ü", "cc by cc by", "by cc", "x " * 3000 + "Apache License"]
+    texts = ["Licensed under CC BY-NC 4.0.", "the GNU General\nPublic License, version 3, and the MIT License; mit-license", None, "", "apache", "Apache licens", "é apache license ü", "cc by cc by", "by cc", "x " * 3000 + "Apache License", licences.NOTICES[6][0].upper(), "x y " + " ".join(licences.NOTICES[11][0].split()[:9]), "by by cc by by", "MIT and license, not MIT: a license"]
     d = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, texts[0], 1)], "doc_id long, text string, score int")
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for r in licences.scan(d).collect():
@@ -473,6 +473,10 @@ def test_licences_equal_brute_force(spark):
             labels |= {label} if at else set()
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)))
         assert labels <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+        if r.doc_id == 10:
+            assert r.labels == "apache,apache-2.0" and r.score == 1
+        if r.doc_id == 11:
+            assert r.labels == "mit" and 0.1 < r.score <= 1
     assert licences.scan(d.limit(0)).count() == 0
 
 
