@@ -33,7 +33,7 @@ from stereobate.llm._text import chunks, grams, mix, word_hashes
 BANDS, ROWS = 24, 4
 #: Signatures agree in about the similarity's share of rows; so far below the limit a pair is not compared further.
 SLACK = 0.25
-BLOCK, BITS, DEVIATIONS = 512, 2048, 5
+BLOCK, BITS, DEVIATIONS = 512, 4096, 5
 #: Ids of documents whose sets are wanted are broadcast up to this number (8 bytes each); beyond, they are joined.
 BROADCAST_IDS = 2_000_000
 
