@@ -147,12 +147,15 @@ def _across(percent: int):
     agree = (1 + percent / 100) / 2
     least = BITS * agree - DEVIATIONS * (BITS * agree * (1 - agree)) ** 0.5
 
-    def pairs(side, node, component, sign):
+    def pairs(band, side, node, component, sign, bands):
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if len(left) and len(right):
             same = (sign[left] @ sign[right].T + BITS) / 2
             i, j = np.nonzero((same >= least) & (component[left][:, None] != component[right][None, :]))
-            yield node[left[i]], node[right[j]]
+            # A pair that meets in several buckets is named in the least of them only.
+            i, j = left[i], right[j]
+            first = np.array([min(bands[x] & bands[y]) == band for x, y in zip(i.tolist(), j.tolist())], bool)
+            yield node[i[first]], node[j[first]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -162,7 +165,8 @@ def _across(percent: int):
             packed = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(node), -1)
             group = np.stack([table.column(c).to_numpy() for c in ("band", "l", "r")])
             cuts = np.concatenate(([0], np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1, [len(node)]))
-            found = [p for lo, hi in zip(cuts[:-1], cuts[1:]) for p in pairs(side[lo:hi], node[lo:hi], component[lo:hi], np.unpackbits(packed[lo:hi], axis=1).astype(np.float32) * 2 - 1)]
+            bands = [set(x) for x in table.column("bands").to_pylist()]
+            found = [p for lo, hi in zip(cuts[:-1], cuts[1:]) for p in pairs(group[0, lo], side[lo:hi], node[lo:hi], component[lo:hi], np.unpackbits(packed[lo:hi], axis=1).astype(np.float32) * 2 - 1, bands[lo:hi])]
             a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
             both = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b))), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["node", "hub"])
@@ -211,7 +215,7 @@ def _verified(near: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
 
 
 def _open_blocks(member: DataFrame, labels: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """``band, l, r, side, node, component, bits``: the block pairs of buckets that hold several components yet.
+    """``band, l, r, side, node, component, bits, bands``: the block pairs of buckets that hold several components yet.
 
     Hubs have been compared already. The nodes of the largest component of a bucket meet those of all others, and
     these meet each other; each side is dealt into blocks of about BLOCK nodes.
@@ -221,13 +225,14 @@ def _open_blocks(member: DataFrame, labels: DataFrame, docs: DataFrame, k: int)
     main = sizes.groupBy("band").agg(F.count("*").alias("components"), F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("total")).where("components > 1")
     main = save(main.select("band", F.col("most.component").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("rb"), F.ceil((F.col("total") - F.col("most.size")) / BLOCK).cast("int").alias("lb")), "main")
     rows = save(others.join(main, "band"), "open")
-    bits = save(_texts_of(rows.select(F.col("node").alias("doc_id")).distinct(), docs).mapInArrow(_bits(k), "node long, bits binary"), "bits")
+    meets = save(rows.groupBy("node").agg(F.collect_set("band").alias("bands")), "meets")  # at most BANDS of each node
+    bits = save(_texts_of(meets.select(F.col("node").alias("doc_id")), docs).mapInArrow(_bits(k), "node long, bits binary").join(meets, "node"), "bits")
     dealt = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     right = F.transform(every("lb"), lambda i: F.struct(F.lit(1).alias("side"), i.alias("l"), dealt("rb", 7).alias("r")))
     left = F.transform(every("rb"), lambda i: F.struct(F.lit(0).alias("side"), dealt("lb", 8).alias("l"), i.alias("r")))
     out = rows.join(bits, "node").withColumn("at", F.explode(F.when(F.col("component") == F.col("main"), right).otherwise(F.concat(left, right))))
-    return out.select("band", "at.l", "at.r", "at.side", "node", "component", "bits")
+    return out.select("band", "at.l", "at.r", "at.side", "node", "component", "bits", "bands")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
