@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from stereobate.plans import catalogues, derived, evidence, lines, mesh, rulesets, shapes
+from stereobate.plans import catalogues, derived, evidence, lines, mesh, rulesets, shapes, shells
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-for _plans in (mesh, lines, catalogues, rulesets, evidence, derived, shapes):
+for _plans in (mesh, lines, catalogues, rulesets, evidence, derived, shapes, shells):
     QUERIES |= _plans.R.queries
     ORACLE_SQL |= _plans.R.sql

@@ -57,6 +57,32 @@ def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("face_id"), F.row_number().over(order).cast("long").alias("seq"), F.col("l_quantity").alias("lo"), (F.col("l_quantity") + F.round(F.col("l_discount") * 100)).alias("hi"))
 
 
+def panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``model_id, face_id, part, kind, axis, x0, x1, y0, y1, z0, z1``: each line as an axis-parallel rectangle on a quarter grid.
+
+    256 orders make a model, so that a model's density is the same at every size. ``axis`` 0, 1, 2: the plane is x, y, z.
+    """
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    c = F.col
+    lines = table(spark, sf_dir, "lineitem").withColumn("seq", F.row_number().over(order).cast("long"))
+    at = {"p": c("l_partkey") % 24 * 0.25, "u": F.floor("l_extendedprice") % 32 * 0.25, "v": F.floor(c("l_extendedprice") / 32) % 32 * 0.25}
+    size = {"w": 0.25 + F.floor("l_quantity") % 4 * 0.25, "h": 0.25 + c("l_suppkey") % 4 * 0.25}
+    p = lines.select(F.floor(c("l_orderkey") / 256).alias("model_id"), (c("l_orderkey") * 100 + c("seq")).alias("face_id"), c("l_orderkey").alias("part"), (c("l_suppkey") % 36).alias("kind"), (c("seq") % 3).cast("int").alias("axis"), *[v.cast("double").alias(k) for k, v in (at | size).items()])
+    u, v, flat = (c("u"), c("u") + c("w")), (c("v"), c("v") + c("h")), (c("p"), c("p"))
+    runs = {"x": (flat, u, u), "y": (u, flat, v), "z": (v, v, flat)}  # along each axis, for planes x, y, z
+    ends = [F.when(c("axis") == 0, on_x[i]).when(c("axis") == 1, on_y[i]).otherwise(on_z[i]).alias(f"{k}{i}") for k, (on_x, on_y, on_z) in runs.items() for i in (0, 1)]
+    return p.select("model_id", "face_id", "part", "kind", "axis", *ends)
+
+
+def panel_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``panels`` with ``pts``, the corners in turn."""
+    c = F.col
+    at = lambda x, y, z: F.struct(c(x).alias("x"), c(y).alias("y"), c(z).alias("z"))
+    rings = [[("x0", "y0", "z0"), ("x0", "y1", "z0"), ("x0", "y1", "z1"), ("x0", "y0", "z1")], [("x0", "y0", "z0"), ("x1", "y0", "z0"), ("x1", "y0", "z1"), ("x0", "y0", "z1")], [("x0", "y0", "z0"), ("x1", "y0", "z0"), ("x1", "y1", "z0"), ("x0", "y1", "z0")]]
+    ring = [F.array(*[at(*p) for p in r]) for r in rings]
+    return panels(spark, sf_dir).withColumn("pts", F.when(c("axis") == 0, ring[0]).when(c("axis") == 1, ring[1]).otherwise(ring[2]))
+
+
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``model_id, stage, name, status``: events as findings."""
     kind = F.col("event_type")
@@ -77,6 +103,19 @@ _CTE = {
                            l_quantity AS lo, l_quantity + round(l_discount * 100) AS hi FROM lineitem""",
     "findings": """SELECT event_id % 7 AS model_id, user_id % 17 AS stage, event_type AS name,
                           CASE event_type WHEN 'error' THEN 'fail' WHEN 'click' THEN 'review' WHEN 'view' THEN 'not_run' ELSE 'pass' END AS status, event_id FROM events""",
+    "panels": """SELECT model_id, face_id, part, kind, axis, CASE axis WHEN 0 THEN p ELSE u END AS x0, CASE axis WHEN 0 THEN p ELSE u + w END AS x1,
+                        CASE axis WHEN 0 THEN u WHEN 1 THEN p ELSE v END AS y0, CASE axis WHEN 0 THEN u + w WHEN 1 THEN p ELSE v + h END AS y1,
+                        CASE axis WHEN 2 THEN p ELSE v END AS z0, CASE axis WHEN 2 THEN p ELSE v + h END AS z1
+                 FROM (SELECT l_orderkey // 256 AS model_id, l_orderkey * 100 + seq AS face_id, l_orderkey AS part, l_suppkey % 36 AS kind, (seq % 3)::INT AS axis,
+                              (l_partkey % 24) * 0.25::DOUBLE AS p, floor(l_extendedprice)::BIGINT % 32 * 0.25::DOUBLE AS u, floor(l_extendedprice / 32)::BIGINT % 32 * 0.25::DOUBLE AS v,
+                              0.25::DOUBLE + floor(l_quantity)::BIGINT % 4 * 0.25::DOUBLE AS w, 0.25::DOUBLE + l_suppkey % 4 * 0.25::DOUBLE AS h
+                       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS seq FROM lineitem))""",
+    "panel_sides": """SELECT model_id, face_id, c[1] AS ax, c[2] AS ay, c[3] AS az, d[1] AS bx, d[2] AS by_, d[3] AS bz FROM (
+                        SELECT model_id, face_id, r[i] AS c, r[i % 4 + 1] AS d FROM (
+                          SELECT model_id, face_id, CASE axis WHEN 0 THEN [[x0,y0,z0],[x0,y1,z0],[x0,y1,z1],[x0,y0,z1]] WHEN 1 THEN [[x0,y0,z0],[x1,y0,z0],[x1,y0,z1],[x0,y0,z1]]
+                                 ELSE [[x0,y0,z0],[x1,y0,z0],[x1,y1,z0],[x0,y1,z0]] END AS r FROM panels), range(1, 5) t(i))""",
+    "open_sides": """SELECT model_id, min(face_id) AS face_id, p[1] AS ax, p[2] AS ay, p[3] AS az, q[1] AS bx, q[2] AS by_, q[3] AS bz
+                     FROM (SELECT model_id, face_id, least([ax,ay,az],[bx,by_,bz]) AS p, greatest([ax,ay,az],[bx,by_,bz]) AS q FROM panel_sides) GROUP BY model_id, p, q HAVING count(*) = 1""",
     "edges": """SELECT model_id, face_id, vid AS a, coalesce(lead(vid) OVER w, first_value(vid) OVER w) AS b, material FROM corners WINDOW w AS (PARTITION BY face_id ORDER BY corner)""",
     "tris": """SELECT model_id, face_id, tri, a, b, c, material FROM (
                  SELECT model_id, face_id, corner - 1 AS tri, first_value(vid) OVER w AS a, lag(vid) OVER w AS b, vid AS c, first_value(material) OVER w AS material, corner
@@ -84,7 +123,7 @@ _CTE = {
     "tri_points": """SELECT t.*, p.x AS ax, p.y AS ay, p.z AS az, q.x AS bx, q.y AS by_, q.z AS bz, r.x AS cx, r.y AS cy, r.z AS cz
                      FROM tris t JOIN vertices p ON t.a = p.vid JOIN vertices q ON t.b = q.vid JOIN vertices r ON t.c = r.vid""",
 }
-_NEEDS = {"points": ["corners", "vertices"], "boxes": ["points"], "edges": ["corners"], "tris": ["corners"], "tri_points": ["tris", "vertices"]}
+_NEEDS = {"panel_sides": ["panels"], "open_sides": ["panel_sides"], "points": ["corners", "vertices"], "boxes": ["points"], "edges": ["corners"], "tris": ["corners"], "tri_points": ["tris", "vertices"]}
 
 
 def with_(*names: str) -> str:

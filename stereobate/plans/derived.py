@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from stereobate.operators import matching as M, ordered as O, spatial as S, tables as K, topology as T
-from stereobate.plans.binding import Registry, boxes, corners, findings, intervals, points, table, vertices, with_
+from stereobate.plans.binding import Registry, boxes, corners, findings, intervals, panels, points, table, vertices, with_
 
 R = Registry()
 
@@ -63,14 +63,14 @@ def m2_merge_questions(spark, sf):
     return M.merge_questions(q(1, 3), q(3, 5), ["face_id"], {"lo": 5.0, "hi": 9.0}, "v2")
 
 
-_LINE_PAIRS = with_("intervals") + ", s AS (SELECT * FROM intervals WHERE seq <= 6)"
+_LINE_PAIRS = with_("intervals") + ", s AS (SELECT * FROM intervals)"
 
 
 @R.add("c13_provenance", _LINE_PAIRS + """
     SELECT n.face_id, n.seq, list_sort(list(DISTINCT o.seq)) AS sources, sum(least(n.hi, o.hi) - greatest(n.lo, o.lo)) AS covered FROM s n JOIN s o ON n.face_id = o.face_id AND n.seq % 2 = 0 AND o.seq % 2 = 1
     WHERE least(n.hi, o.hi) > greatest(n.lo, o.lo) GROUP BY ALL""")
 def c13_provenance(spark, sf):
-    s = intervals(spark, sf).where("seq <= 6")
+    s = intervals(spark, sf)
     new = s.where("seq % 2 = 0")
     old = s.where("seq % 2 = 1").select("face_id", F.col("seq").alias("source"), F.col("lo").alias("olo"), F.col("hi").alias("ohi"))
     met = new.join(old, "face_id").withColumn("shared", F.least("hi", "ohi") - F.greatest("lo", "olo")).where("shared > 0")
@@ -217,33 +217,32 @@ def d40_compare_modules(spark, sf):
 _UVB = "uvb AS (SELECT face_id, CAST(floor(min(x)) AS BIGINT) AS tile, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM points WHERE corner < 2 GROUP BY face_id HAVING max(x) - min(x) <= 1 AND max(y) - min(y) <= 1)"
 
 
-@R.add("d41_uv_islands", with_("points") + f", {_UVB}" + """
-    SELECT p.tile AS model_id, p.face_id AS a, q.face_id AS b FROM uvb p JOIN uvb q ON p.tile = q.tile AND p.face_id < q.face_id AND p.x0 <= q.x1 AND q.x0 <= p.x1 AND p.y0 <= q.y1 AND q.y0 <= p.y1
-    WHERE (least(p.x1, q.x1) - greatest(p.x0, q.x0)) > 0.5 AND (least(p.y1, q.y1) - greatest(p.y0, q.y0)) > 0.5""")
+@R.add("d41_uv_islands", with_("panels") + """
+    SELECT p.model_id, p.face_id AS a, q.face_id AS b FROM panels p JOIN panels q ON p.model_id = q.model_id AND p.axis = 2 AND q.axis = 2 AND p.face_id < q.face_id
+      AND least(p.x1, q.x1) - greatest(p.x0, q.x0) > 0.2 AND least(p.y1, q.y1) - greatest(p.y0, q.y0) > 0.2""")
 def d41_uv_islands(spark, sf):
-    b = points(spark, sf).where("corner < 2").groupBy("face_id").agg(F.floor(F.min("x")).cast("long").alias("model_id"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).where("x1 - x0 <= 1 and y1 - y0 <= 1")
-    return S.box_pairs(b, 1.0, axes="xy").where("shared_x > 0.5 and shared_y > 0.5").select("model_id", "a", "b")
+    return S.box_pairs(panels(spark, sf).where("axis = 2"), 1.0, axes="xy").where("shared_x > 0.2 and shared_y > 0.2").select("model_id", "a", "b")
 
 
-_PC = "pc AS (SELECT DISTINCT model_id, CAST(floor(x / 0.5) AS BIGINT) AS i, CAST(floor(y / 0.5) AS BIGINT) AS j FROM points WHERE corner = 0 AND face_id % 40 = 0)"
+_PC = "pc AS (SELECT DISTINCT model_id, CAST(floor(x0 / 0.5) AS BIGINT) AS i, CAST(floor(y0 / 0.5) AS BIGINT) AS j FROM panels WHERE axis = 2)"
 
 
-@R.add("d44_plan_clusters", with_("points").replace("WITH", "WITH RECURSIVE", 1) + f", {_PC}" + """,
-    r AS (SELECT model_id, i, j, i * 1000 + j AS root FROM pc UNION SELECT r.model_id, n.i, n.j, r.root FROM r JOIN pc n ON n.model_id = r.model_id AND abs(n.i - r.i) <= 2 AND abs(n.j - r.j) <= 2),
+@R.add("d44_plan_clusters", with_("panels").replace("WITH", "WITH RECURSIVE", 1) + f", {_PC}" + """,
+    r AS (SELECT model_id, i, j, i * 1000 + j AS root FROM pc UNION SELECT r.model_id, n.i, n.j, r.root FROM r JOIN pc n ON n.model_id = r.model_id AND abs(n.i - r.i) <= 1 AND abs(n.j - r.j) <= 1),
     l AS (SELECT model_id, i, j, min(root) AS c FROM r GROUP BY ALL)
     SELECT model_id, count(DISTINCT c) AS clusters, count(*) AS cells FROM l GROUP BY model_id""")
 def d44_plan_clusters(spark, sf):
-    cells = points(spark, sf).where("corner = 0 and face_id % 40 = 0").select("model_id", F.floor(F.col("x") / 0.5).cast("long").alias("i"), F.floor(F.col("y") / 0.5).cast("long").alias("j"))
-    return M.cell_clusters(cells, 2).groupBy("model_id").agg(F.countDistinct("component").alias("clusters"), F.count("*").alias("cells"))
+    cells = panels(spark, sf).where("axis = 2").select("model_id", F.floor(F.col("x0") / 0.5).cast("long").alias("i"), F.floor(F.col("y0") / 0.5).cast("long").alias("j"))
+    return M.cell_clusters(cells, 1).groupBy("model_id").agg(F.countDistinct("component").alias("clusters"), F.count("*").alias("cells"))
 
 
 @R.add("d45_material_groups", with_("edges").replace("WITH", "WITH RECURSIVE", 1) + """,
-    s AS (SELECT DISTINCT model_id, material, face_id, least(a, b) AS a, greatest(a, b) AS b FROM edges WHERE material < 6),
+    s AS (SELECT DISTINCT model_id, material, face_id, least(a, b) AS a, greatest(a, b) AS b FROM edges),
     n AS (SELECT DISTINCT p.face_id AS a, q.face_id AS b FROM s p JOIN s q ON p.model_id = q.model_id AND p.material = q.material AND p.a = q.a AND p.b = q.b),
     r AS (SELECT DISTINCT face_id, face_id AS root FROM s UNION SELECT r.face_id, n.b FROM r JOIN n ON r.root = n.a)
     SELECT component, count(*) AS faces FROM (SELECT face_id, min(root) AS component FROM r GROUP BY face_id) GROUP BY component HAVING count(*) > 1""")
 def d45_material_groups(spark, sf):
-    s = T.edges(corners(spark, sf)).where("material < 6").select("model_id", "material", "face_id", F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
+    s = T.edges(corners(spark, sf)).select("model_id", "material", "face_id", F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
     hub = s.groupBy("model_id", "material", "p", "q").agg(F.min("face_id").alias("b"))
     links = s.join(hub, ["model_id", "material", "p", "q"]).select(F.col("face_id").alias("a"), "b")
     return T.components(s.select(F.col("face_id").alias("node")), links).groupBy("component").agg(F.count("*").alias("faces")).where("faces > 1")

@@ -108,9 +108,9 @@ def b18_classify_paths(spark, sf):
 
 
 @R.add("b22_opening_kind", """
-    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_discount > 0 AND 3 - l_quantity / 20 <= 0.1 + 1e-9 THEN 'window' WHEN l_tax <= 0.1 + 1e-9 AND l_quantity / 20 BETWEEN 0.7 AND 2.5 THEN 'door' ELSE 'opening' END AS kind FROM lineitem WHERE l_linenumber <= 2""")
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_discount > 0 AND 3 - l_quantity / 20 <= 0.1 + 1e-9 THEN 'window' WHEN l_tax <= 0.1 + 1e-9 AND l_quantity / 20 BETWEEN 0.7 AND 2.5 THEN 'door' ELSE 'opening' END AS kind FROM lineitem""")
 def b22_opening_kind(spark, sf):
-    o = table(spark, sf, "lineitem").where("l_linenumber <= 2").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.when(F.col("l_discount") > 0, F.col("l_quantity") / 20).alias("glass_h"), F.lit(3.0).alias("h"), F.col("l_tax").alias("sill"), (F.col("l_quantity") / 20).alias("w"))
+    o = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.when(F.col("l_discount") > 0, F.col("l_quantity") / 20).alias("glass_h"), F.lit(3.0).alias("h"), F.col("l_tax").alias("sill"), (F.col("l_quantity") / 20).alias("w"))
     return U.opening_kind(o).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "kind")
 
 
@@ -193,9 +193,9 @@ def l14_contract_rules(spark, sf):
     return U.findings(table(spark, sf, "part"), "p_partkey", {"size": F.col("p_size").between(1, 40), "name": F.col("p_name").rlike("^[a-z]+ [a-z]+$")}, {"size": F.col("p_size")})
 
 
-@R.add("l15_tile_rules", "SELECT l_suppkey AS tile, count(*) AS uses FROM lineitem WHERE l_linenumber = 1 GROUP BY 1 HAVING count(*) > 1")
+@R.add("l15_tile_rules", "SELECT l_suppkey AS tile, count(*) AS uses FROM lineitem GROUP BY 1 HAVING count(*) > 1")
 def l15_tile_rules(spark, sf):
-    return table(spark, sf, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_suppkey").alias("tile")).agg(F.count("*").alias("uses")).where("uses > 1")
+    return table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("tile")).agg(F.count("*").alias("uses")).where("uses > 1")
 
 
 @R.add("l16_atlas_coverage", """
