@@ -102,11 +102,14 @@ def c12_top_surface(spark, sf):
     return S.top_surface(_plan_points(spark, sf), tris, 0.5).select("point_id", F.round("z", 9).alias("z"))
 
 
-@R.add("c14_t_junctions", with_("panel_sides") + """,
-    s AS (SELECT DISTINCT model_id, least([ax,ay,az],[bx,by_,bz]) AS p, greatest([ax,ay,az],[bx,by_,bz]) AS q FROM panel_sides),
-    v AS (SELECT DISTINCT model_id, [ax,ay,az] AS r FROM panel_sides)
-    SELECT s.model_id, p[1] AS ax, p[2] AS ay, p[3] AS az, q[1] AS bx, q[2] AS by_, q[3] AS bz, count(*) AS vertices FROM s JOIN v ON s.model_id = v.model_id AND r <> p AND r <> q
-      AND r[1] BETWEEN p[1] AND q[1] AND r[2] BETWEEN least(p[2], q[2]) AND greatest(p[2], q[2]) AND r[3] BETWEEN least(p[3], q[3]) AND greatest(p[3], q[3]) GROUP BY ALL""")
+# Sides run along an axis: a vertex inside one has its two other coordinates.
+_ALONG = " UNION ALL ".join(f"SELECT s.* FROM s JOIN v ON s.model_id = v.model_id AND s.{q} = v.{q} AND s.{r} = v.{r} AND v.{p} > s.{p} AND v.{p} < s.{p}2 WHERE s.{q} = s.{q}2 AND s.{r} = s.{r}2" for p, q, r in ("xyz", "yzx", "zxy"))
+
+
+@R.add("c14_t_junctions", with_("panel_sides") + f""",
+    s AS (SELECT DISTINCT model_id, p[1] AS x, p[2] AS y, p[3] AS z, q[1] AS x2, q[2] AS y2, q[3] AS z2 FROM (SELECT model_id, least([ax,ay,az],[bx,by_,bz]) AS p, greatest([ax,ay,az],[bx,by_,bz]) AS q FROM panel_sides)),
+    v AS (SELECT DISTINCT model_id, ax AS x, ay AS y, az AS z FROM panel_sides)
+    SELECT model_id, x AS ax, y AS ay, z AS az, x2 AS bx, y2 AS by_, z2 AS bz, count(*) AS vertices FROM ({_ALONG}) GROUP BY ALL""")
 def c14_t_junctions(spark, sf):
     from stereobate.operators import shells as H
 
