@@ -19,10 +19,15 @@ def bbox(points: DataFrame, by: list[str]) -> DataFrame:
     return points.groupBy(*by).agg(*[f(c).alias(f"{c}{i}") for c in "xyz" for i, f in enumerate((F.min, F.max))])
 
 
-def to_storey(df: DataFrame, levels: DataFrame, z: str) -> DataFrame:
-    """Rows with the ``level`` whose span [elev, next elev) holds ``z``; rows below the lowest level have none and go."""
-    spans = levels.select("level", F.col("elev").alias("_lo"), F.lead("elev", 1, float("inf")).over(Window.orderBy("elev")).alias("_hi"))
-    return df.join(bounded(spans), (F.col(z) >= F.col("_lo")) & (F.col(z) < F.col("_hi"))).drop("_lo", "_hi")
+def to_storey(df: DataFrame, levels: DataFrame, z: str, on: list[str]) -> DataFrame:
+    """Rows with the ``level`` of their own ``on`` (a model) whose span [elev, next elev) holds ``z``.
+
+    Rows below the lowest level of their model have none and go.
+    """
+    ladder = Window.partitionBy(*on).orderBy("elev")
+    spans = levels.select(*on, "level", F.col("elev").alias("_lo"), F.lead("elev", 1, float("inf")).over(ladder).alias("_hi"))
+    met = df.join(bounded(spans), on)
+    return met.where((F.col(z) >= F.col("_lo")) & (F.col(z) < F.col("_hi"))).drop("_lo", "_hi")
 
 
 def cells(df: DataFrame, ranges: list[tuple[str, str]], size: float, names: list[str], reach: float = 0.0) -> DataFrame:

@@ -10,11 +10,15 @@ from stereobate.plans.binding import MATERIAL_RANGES, Registry, boxes, corners,
 R = Registry()
 
 
-@R.add("c2_to_storey", with_("vertices", "levels") + """,
-    l AS (SELECT level, elev, coalesce(lead(elev) OVER (ORDER BY elev), 'infinity'::DOUBLE) AS top FROM levels)
-    SELECT v.vid, l.level FROM vertices v JOIN l ON v.z >= l.elev AND v.z < l.top""")
+@R.add("c2_to_storey", with_("panels", "levels") + """,
+    m AS (SELECT model_id, level, elev + model_id % 3 * 0.5 AS elev FROM (SELECT DISTINCT model_id FROM panels), levels),
+    l AS (SELECT *, coalesce(lead(elev) OVER (PARTITION BY model_id ORDER BY elev), 'infinity'::DOUBLE) AS top FROM m)
+    SELECT p.model_id, p.face_id, l.level FROM panels p JOIN l ON l.model_id = p.model_id AND p.z0 >= l.elev AND p.z0 < l.top""")
 def c2_to_storey(spark, sf):
-    return S.to_storey(vertices(spark, sf), levels(spark), "z").select("vid", "level")
+    p = panels(spark, sf).select("model_id", "face_id", "z0")
+    # Every model has its own ladder of levels; the few levels are laid beside its models.
+    ladders = p.select("model_id").distinct().join(F.broadcast(levels(spark))).withColumn("elev", F.col("elev") + F.col("model_id") % 3 * 0.5)
+    return S.to_storey(p, ladders, "z0", ["model_id"]).select("model_id", "face_id", "level")
 
 
 _PAIRS = """pairs AS (SELECT p.model_id, p.face_id AS a, q.face_id AS b, p.x0, p.x1, p.y0, p.y1, p.z0, p.z1, q.x0 AS qx0, q.x1 AS qx1, q.y0 AS qy0, q.y1 AS qy1, q.z0 AS qz0, q.z1 AS qz1

@@ -114,12 +114,17 @@ def i6_sessions(spark, sf):
     return E.session_windows(_events(spark, sf), "6 hours")
 
 
-@R.add("i7_run_state", with_("findings") + """,
-    l AS (SELECT model_id AS run_id, stage, arg_max(status, event_id) AS status FROM findings GROUP BY ALL),
-    r AS (SELECT run_id, count(*) AS stages, count(*) FILTER (status = 'fail') AS failed, count(*) FILTER (status = 'pass') AS passed FROM l GROUP BY run_id)
-    SELECT *, CASE WHEN failed > 0 THEN 'failed' WHEN passed = stages THEN 'verified' ELSE 'running' END AS state, CASE WHEN failed > 1 THEN 'stop' WHEN failed = 1 THEN 'repeat' WHEN passed = stages THEN 'none' ELSE 'continue' END AS action FROM r""")
+@R.add("i7_run_state", """
+    WITH a AS (SELECT event_id % 101 AS run_id, user_id % 5 AS stage, event_id AS attempt, CASE event_type WHEN 'error' THEN 'fail' WHEN 'click' THEN 'review' ELSE 'pass' END AS status FROM events),
+    t AS (SELECT *, row_number() OVER (PARTITION BY run_id, stage ORDER BY attempt DESC) AS n FROM a),
+    l AS (SELECT run_id, stage, max(status) FILTER (n = 1) AS status, count(*) FILTER (status = 'fail') = 2 AS again FROM t WHERE n <= 2 GROUP BY ALL),
+    r AS (SELECT run_id, count(*) AS stages, count(*) FILTER (status = 'fail') AS failed, count(*) FILTER (status = 'pass') AS passed, count(*) FILTER (again) AS stuck FROM l GROUP BY run_id)
+    SELECT *, CASE WHEN failed > 0 THEN 'failed' WHEN passed = stages THEN 'verified' ELSE 'running' END AS state, CASE WHEN stuck > 0 THEN 'stop' WHEN failed > 0 THEN 'repeat' WHEN passed = stages THEN 'none' ELSE 'continue' END AS action FROM r""")
 def i7_run_state(spark, sf):
-    return E.run_state(findings(spark, sf).select(F.col("model_id").alias("run_id"), "stage", F.col("event_id").alias("attempt"), "status"))
+    kind = F.col("event_type")
+    status = F.when(kind == "error", "fail").when(kind == "click", "review").otherwise("pass")
+    e = table(spark, sf, "events")
+    return E.run_state(e.select((F.col("event_id") % 101).alias("run_id"), (F.col("user_id") % 5).alias("stage"), F.col("event_id").alias("attempt"), status.alias("status")))
 
 
 @R.add("i8_split_late", """

@@ -203,7 +203,9 @@ def d12_plan_area(spark, sf):
 def d13_floor_areas(spark, sf):
     from stereobate.operators.spatial import to_storey
 
-    placed = to_storey(T.tri_measures(_tri_points(spark, sf)), levels(spark), "mz")
+    measured = T.tri_measures(_tri_points(spark, sf))
+    ladders = corners(spark, sf).select("model_id").distinct().join(F.broadcast(levels(spark)))
+    placed = to_storey(measured, ladders, "mz", ["model_id"])
     return placed.groupBy("model_id", "level").agg(F.round(F.sum("area"), 4).alias("area"), F.count("*").alias("triangles"))
 
 

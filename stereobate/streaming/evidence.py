@@ -87,13 +87,18 @@ def recent(events: DataFrame, n: int = 500) -> DataFrame:
 def run_state(attempts: DataFrame) -> DataFrame:
     """State and next action of each run from its stage attempts (run_id, stage, attempt, status).
 
-    A stage's last attempt counts. Any failed stage with two equal failures in a row stops the run.
+    A stage's last attempt counts. A stage whose last two attempts both failed stops the run; other failed stages are
+    repeated. This is a table operator; on a stream it is the body of ``foreachBatch`` over the attempts so far.
     """
-    last = attempts.groupBy("run_id", "stage").agg(F.max_by("status", "attempt").alias("status"), F.max("attempt").alias("attempts"))
-    n = lambda s: F.sum(F.when(F.col("status") == s, 1).otherwise(0)).cast("long")
-    out = last.groupBy("run_id").agg(F.count("*").alias("stages"), n("fail").alias("failed"), n("pass").alias("passed"))
+    from pyspark.sql import Window
+
+    latest = Window.partitionBy("run_id", "stage").orderBy(F.desc("attempt"))
+    two = attempts.withColumn("_n", F.row_number().over(latest)).where("_n <= 2")
+    last = two.groupBy("run_id", "stage").agg(F.max(F.when(F.col("_n") == 1, F.col("status"))).alias("status"), (F.sum((F.col("status") == "fail").cast("int")) == 2).alias("again"))
+    n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+    out = last.groupBy("run_id").agg(F.count("*").alias("stages"), n(F.col("status") == "fail").alias("failed"), n(F.col("status") == "pass").alias("passed"), n(F.col("again")).alias("stuck"))
     state = F.when(F.col("failed") > 0, "failed").when(F.col("passed") == F.col("stages"), "verified").otherwise("running")
-    action = F.when(F.col("failed") > 1, "stop").when(F.col("failed") == 1, "repeat").when(F.col("passed") == F.col("stages"), "none").otherwise("continue")
+    action = F.when(F.col("stuck") > 0, "stop").when(F.col("failed") > 0, "repeat").when(F.col("passed") == F.col("stages"), "none").otherwise("continue")
     return out.withColumn("state", state).withColumn("action", action)
 
 
