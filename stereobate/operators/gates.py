@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stereobate.operators.rules import findings
 from stereobate.operators.topology import components
@@ -90,6 +90,38 @@ def captured_uv(lines: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.coalesce(whole, F.lit(False)), "pass").otherwise("fail")).drop("_most", "_least")
 
 
+def match_triangles(expected: DataFrame, actual: DataFrame, tol: float) -> DataFrame:
+    """``model_id, a, b, error``: triangles of two exports one to one, where each is the other's nearest.
+
+    Both sides: ``model_id, face_id, kind, pts`` (three places). Pairs have one kind and centres in neighbouring cells; the
+    error is the largest corner distance under the best of the three cyclic shifts, at most ``tol``. Equal errors go to the
+    smaller ids.
+    """
+    size = 4 * tol
+
+    def placed(df: DataFrame, key: str, around: bool) -> DataFrame:
+        cells = [F.floor((F.col("pts")[0][c] + F.col("pts")[1][c] + F.col("pts")[2][c]) / 3 / size).cast("long") for c in "xyz"]
+        out = df.select("model_id", "kind", F.col("face_id").alias(key), F.col("pts").alias(f"{key}_pts"), *[x.alias(f"c{k}") for k, x in enumerate(cells)])
+        for k in range(3 if around else 0):
+            out = out.withColumn(f"c{k}", F.explode(F.array(*[F.col(f"c{k}") + d for d in (-1, 0, 1)])))
+        return out
+
+    met = placed(expected, "a", False).join(placed(actual, "b", True), ["model_id", "kind", "c0", "c1", "c2"])
+    apart = lambda i, j: F.sqrt(sum(((F.col("a_pts")[i][c] - F.col("b_pts")[j][c]) ** 2 for c in "yz"), (F.col("a_pts")[i]["x"] - F.col("b_pts")[j]["x"]) ** 2))
+    error = F.least(*[F.greatest(*[apart(i, (i + shift) % 3) for i in range(3)]) for shift in range(3)])
+    met = met.select("model_id", "a", "b", error.alias("error")).where(F.col("error") <= tol)
+    best = lambda key, other: F.row_number().over(Window.partitionBy("model_id", key).orderBy("error", other))
+    return met.withColumn("_a", best("a", "b")).withColumn("_b", best("b", "a")).where("_a = 1 and _b = 1").drop("_a", "_b")
+
+
+def triangle_report(expected: DataFrame, actual: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``model_id, expected, actual, matched, missing, extra, worst``: what ``match_triangles`` left over on either side."""
+    count = lambda df, name: df.groupBy("model_id").agg(F.count("*").alias(name))
+    found = pairs.groupBy("model_id").agg(F.count("*").alias("matched"), F.max("error").alias("worst"))
+    out = count(expected, "expected").join(count(actual, "actual"), "model_id", "full").join(found, "model_id", "left").na.fill(0, ["expected", "actual", "matched"])
+    return out.select("model_id", "expected", "actual", "matched", (F.col("expected") - F.col("matched")).alias("missing"), (F.col("actual") - F.col("matched")).alias("extra"), "worst")
+
+
 class Checks:
     """Named checks: each takes the evidence tables it names and gives rows ``key, status``; one verdict comes out of each."""
 
@@ -115,4 +147,4 @@ class Checks:
         return reduce(DataFrame.unionByName, parts)
 
 
-__all__ = ["Checks", "atlas_rules", "captured_uv", "join_across_levels", "low_detail_package", "pivot_rules"]
+__all__ = ["Checks", "atlas_rules", "captured_uv", "join_across_levels", "low_detail_package", "match_triangles", "pivot_rules", "triangle_report"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stereobate.operators import gates as G
-from stereobate.plans.binding import Registry, corners, panels, table, with_
+from stereobate.plans.binding import Registry, corners, panel_faces, panels, table, with_
 
 R = Registry()
 
@@ -91,3 +91,26 @@ def j1_check_registry(spark, sf):
     checks.register("breaks", lambda p: p.select("no_such_column"), ["panels"])
     checks.register("no_evidence", lambda p: p, ["renders"])
     return checks.run({"corners": corners(spark, sf), "panels": panels(spark, sf)})
+
+
+_TRIS = """half AS (SELECT model_id, face_id * 2 + k AS face_id, kind, CASE k WHEN 0 THEN [r[1], r[2], r[3]] ELSE [r[1], r[3], r[4]] END AS pts FROM (
+        SELECT model_id, face_id, kind, CASE axis WHEN 0 THEN [[x0,y0,z0],[x0,y1,z0],[x0,y1,z1],[x0,y0,z1]] WHEN 1 THEN [[x0,y0,z0],[x1,y0,z0],[x1,y0,z1],[x0,y0,z1]] ELSE [[x0,y0,z0],[x1,y0,z0],[x1,y1,z0],[x0,y1,z0]] END AS r FROM panels), range(2) t(k)),
+    moved AS (SELECT model_id, face_id, kind, list_transform([pts[(face_id % 3 + 1)::INT], pts[((face_id + 1) % 3 + 1)::INT], pts[((face_id + 2) % 3 + 1)::INT]], lambda p: [p[1] + face_id % 5 * 0.001, p[2], p[3]]) AS pts FROM half WHERE face_id % 31 <> 0)"""
+_APART = "sqrt(pow(e.pts[{i}][1] - m.pts[{j}][1], 2) + pow(e.pts[{i}][2] - m.pts[{j}][2], 2) + pow(e.pts[{i}][3] - m.pts[{j}][3], 2))"
+_SHIFTS = ", ".join("greatest(" + ", ".join(_APART.format(i=i + 1, j=(i + s) % 3 + 1) for i in range(3)) + ")" for s in range(3))
+
+
+@R.add("c8_match_triangles", with_("panels") + f""", {_TRIS},
+    met AS (SELECT e.model_id, e.face_id AS a, m.face_id AS b, least({_SHIFTS}) AS error FROM half e JOIN moved m ON e.model_id = m.model_id AND e.kind = m.kind AND abs(e.pts[1][3] + e.pts[2][3] + e.pts[3][3] - m.pts[1][3] - m.pts[2][3] - m.pts[3][3]) < 0.01),
+    pairs AS (SELECT model_id, a, b, error FROM met WHERE error <= 0.0035 QUALIFY row_number() OVER (PARTITION BY model_id, a ORDER BY error, b) = 1 AND row_number() OVER (PARTITION BY model_id, b ORDER BY error, a) = 1),
+    x AS (SELECT model_id, count(*) AS expected FROM half GROUP BY 1), y AS (SELECT model_id, count(*) AS actual FROM moved GROUP BY 1), z AS (SELECT model_id, count(*) AS matched, max(error) AS worst FROM pairs GROUP BY 1)
+    SELECT model_id, expected, actual, matched, expected - matched AS missing, actual - matched AS extra, round(worst, 6) AS worst FROM x JOIN y USING (model_id) JOIN z USING (model_id)""")
+def c8_match_triangles(spark, sf):
+    f = panel_faces(spark, sf)
+    halves = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.col("pts")[i] for i in ring]).alias("pts")) for k, ring in enumerate(((0, 1, 2), (0, 2, 3)))])
+    half = f.select("model_id", "face_id", "kind", F.explode(halves).alias("h")).select("model_id", (F.col("face_id") * 2 + F.col("h.k")).alias("face_id"), "kind", F.col("h.pts").alias("pts"))
+    at = lambda i: F.get("pts", ((F.col("face_id") + i) % 3).cast("int"))
+    turned = F.array(*[F.struct((at(i)["x"] + F.col("face_id") % 5 * 0.001).alias("x"), at(i)["y"].alias("y"), at(i)["z"].alias("z")) for i in range(3)])
+    moved = half.where("face_id % 31 <> 0").select("model_id", "face_id", "kind", turned.alias("pts"))
+    report = G.triangle_report(half, moved, G.match_triangles(half, moved, 0.0035))
+    return report.withColumn("worst", F.round("worst", 6))
