@@ -91,11 +91,16 @@ def components(nodes: DataFrame, links: DataFrame, folder: str | None = None) ->
     ``checkpoint`` (reliable, in the shared checkpoint folder) after each.
     """
     spark = nodes.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(folder or shared or tempfile.mkdtemp(prefix="stereobate-"))
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = folder or context.getConf().get("spark.checkpoint.dir")
+        if shared is None:
+            if context.master != "local" and not context.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            import tempfile
+
+            shared = tempfile.mkdtemp(prefix="stereobate-")  # a local session has one machine only
+        context.setCheckpointDir(shared)
     at = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
     seen = None
     while True:

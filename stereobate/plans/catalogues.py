@@ -288,21 +288,21 @@ def d42_area_conservation(spark, sf):
     return K.area_conservation(children, parents, "face_id", 1.0).select("face_id", "children", "kept")
 
 
-_CELLS = "cells AS (SELECT DISTINCT model_id, CAST(floor(x) AS BIGINT) AS i, CAST(floor(y) AS BIGINT) AS j, CAST(floor(z / 4) AS BIGINT) AS k FROM points WHERE corner = 0)"
+_CELLS = "cells AS (SELECT DISTINCT model_id, CAST(floor(x0) AS BIGINT) AS i, CAST(floor(y0) AS BIGINT) AS j, CAST(floor(z0) AS BIGINT) AS k FROM panels)"
 
 
 def _cells(spark, sf):
-    return points(spark, sf).where("corner = 0").select("model_id", F.floor("x").cast("long").alias("i"), F.floor("y").cast("long").alias("j"), F.floor(F.col("z") / 4).cast("long").alias("k")).distinct()
+    return panels(spark, sf).select("model_id", F.floor("x0").cast("long").alias("i"), F.floor("y0").cast("long").alias("j"), F.floor("z0").cast("long").alias("k")).distinct()
 
 
-@R.add("d43_cell_faces", with_("points") + f", {_CELLS}" + """
+@R.add("d43_cell_faces", with_("panels") + f", {_CELLS}" + """
     SELECT c.model_id, a.axis, a.side, c.i, c.j, c.k FROM cells c, (VALUES ('i', -1, -1, 0, 0), ('i', 1, 1, 0, 0), ('j', -1, 0, -1, 0), ('j', 1, 0, 1, 0), ('k', -1, 0, 0, -1), ('k', 1, 0, 0, 1)) a(axis, side, di, dj, dk)
     WHERE NOT EXISTS (SELECT 1 FROM cells n WHERE n.model_id = c.model_id AND n.i = c.i + di AND n.j = c.j + dj AND n.k = c.k + dk)""")
 def d43_cell_faces(spark, sf):
     return K.exposed_faces(_cells(spark, sf))
 
 
-@R.add("n10_cell_rectangles", with_("points") + f", {_CELLS}, p AS (SELECT DISTINCT model_id, i, j FROM cells)" + """,
+@R.add("n10_cell_rectangles", with_("panels") + f", {_CELLS}, p AS (SELECT DISTINCT model_id, i, j FROM cells)" + """,
     r AS (SELECT model_id, j, min(i) AS i0, max(i) AS i1 FROM (SELECT *, i - row_number() OVER (PARTITION BY model_id, j ORDER BY i) AS g FROM p) GROUP BY model_id, j, g)
     SELECT model_id, i0, i1, min(j) AS j0, max(j) AS j1 FROM (SELECT *, j - row_number() OVER (PARTITION BY model_id, i0, i1 ORDER BY j) AS h FROM r) GROUP BY model_id, i0, i1, h""")
 def n10_cell_rectangles(spark, sf):

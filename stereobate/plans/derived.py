@@ -102,13 +102,13 @@ def d19_type_census(spark, sf):
 
 @R.add("d20_assembly_types", with_("points") + """,
     r AS (SELECT model_id, face_id, q, CAST(CASE q WHEN 0 THEN dx WHEN 1 THEN -dy WHEN 2 THEN -dx ELSE dy END AS BIGINT) AS u, CAST(CASE q WHEN 0 THEN dy WHEN 1 THEN dx WHEN 2 THEN -dy ELSE -dx END AS BIGINT) AS v
-          FROM (SELECT model_id, face_id, round_even((x - first_value(x) OVER w) * 4, 0) AS dx, round_even((y - first_value(y) OVER w) * 4, 0) AS dy FROM points WHERE corner < 3 WINDOW w AS (PARTITION BY face_id ORDER BY corner)), (SELECT unnest(range(4)) AS q)),
+          FROM (SELECT model_id, face_id, round_even((x - first_value(x) OVER w) * 4, 0) AS dx, round_even((y - first_value(y) OVER w) * 4, 0) AS dy FROM points WINDOW w AS (PARTITION BY face_id ORDER BY corner)), (SELECT unnest(range(4)) AS q)),
     s AS (SELECT model_id, face_id, q, string_agg(printf('%d,%d', u, v), ';' ORDER BY printf('%d,%d', u, v)) AS sig FROM r GROUP BY ALL),
     t AS (SELECT model_id, face_id, min(sig) AS sig FROM s GROUP BY ALL)
     SELECT sig AS signature, count(*) AS placements, count(DISTINCT model_id) AS models FROM t GROUP BY sig""")
 def d20_assembly_types(spark, sf):
     w = Window.partitionBy("face_id").orderBy("corner")
-    local = points(spark, sf).where("corner < 3").select("model_id", "face_id", *[F.bround((F.col(c) - F.first(c).over(w)) * 4).cast("long").alias(f"d{c}") for c in "xy"])
+    local = points(spark, sf).select("model_id", "face_id", *[F.bround((F.col(c) - F.first(c).over(w)) * 4).cast("long").alias(f"d{c}") for c in "xy"])
     x, y = F.col("dx"), F.col("dy")
     turns = F.array(*[F.struct(F.lit(q).alias("q"), u.alias("u"), v.alias("v")) for q, (u, v) in enumerate([(x, y), (-y, x), (-x, -y), (y, -x)])])
     placed = local.select("model_id", "face_id", F.explode(turns).alias("t")).select("model_id", "face_id", "t.q", F.format_string("%d,%d", "t.u", "t.v").alias("s"))
