@@ -30,7 +30,7 @@ from stereobate.llm._io import save
 
 TREES, LEAF = 8, 192
 #: What the driver holds: vectors of the sample that fits the trees, and the planes of all trees.
-SAMPLE_BYTES, FOREST_BYTES = 32 << 20, 64 << 20
+SAMPLE_BYTES, FOREST_BYTES = 8 << 20, 64 << 20
 #: Cosines are ordered by so many decimals: what differs by less is rounding, so that ties go to the smaller id.
 DECIMALS = 12
 #: Queries on which the budget is measured, and the share of their true neighbours that it must reach.
@@ -234,7 +234,8 @@ def _nearest(clean: DataFrame, dim: int, k: int, budget: int | None) -> DataFram
     reps = save(reps.join(asked, ["k1", "k2"], "left").select("rep", F.col("embedding").alias("vector"), F.coalesce("asked", F.lit(False)).alias("asked")), "reps")
     n = reps.count()
     chance = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    sample = np.array([r.vector for r in reps.where(chance < SAMPLE_BYTES / (8 * dim) / n).select("rep", "vector").sort("rep").collect()] or [reps.sort("rep").first().vector])
+    drawn = reps.where(chance < SAMPLE_BYTES / (8 * dim) / n).select("rep", "vector").sort("rep").toArrow()
+    sample = drawn.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) if drawn.num_rows else np.array([reps.sort("rep").first().vector])
     forest = Forest(_unit(sample), n)
     shared = spark.sparkContext.broadcast(forest)
 
