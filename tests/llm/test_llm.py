@@ -504,3 +504,18 @@ def test_pipeline_stages_take_effect(spark):
     assert mix.columns == docs.columns and {r.doc_id for r in mix.collect()} <= {r.doc_id for r in clean.collect()}
     placed = stages["sharding"](spark, mix, sf)
     assert placed.count() == mix.count() and placed.select("shard").distinct().count() == corpus_pipeline.SHARDS
+
+
+def test_pipeline_stages_keep_further_columns_and_take_empty_tables(spark, sf):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    rows = [(i, prose(rng, 30) if i % 5 else None if i % 2 else "", "en", f"s{i % 2}" if i % 3 else None, i, 0.5, "x") for i in range(20)] + [(None, prose(rng, 9), "en", "s0", 3, 0.1, "y")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, size string")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, d, sf)
+        if name == "sharding":
+            assert out.count() == len(rows)
+        else:
+            assert out.columns == d.columns and {r.doc_id for r in out.collect()} <= {r[0] for r in rows}
+        assert stage(spark, d.limit(0), sf).count() == 0
