@@ -62,9 +62,12 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word in ``data``, and the first word of each text (one more entry than texts)."""
-    solid = ~SPACE[data]
+def words(data: np.ndarray, starts: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word in ``data``, and the first word of each text (one more entry than texts).
+
+    ``gap`` says of each byte whether it stands between words.
+    """
+    solid = ~gap[data]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
@@ -83,13 +86,19 @@ def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, down
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool = True, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word and the first word of each text."""
-    begin, end, at = words(data, starts)
+    begin, end, at = words(data, starts, gap)
     run, down = prefix_hash(LOWER[data] if lower else data)
     return mix((run[end] - run[begin]) * down[begin]), at
 
 
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``first[i], first[i] + 1, ...``, ``count[i]`` of each, one after another."""
+    done = np.cumsum(count)
+    return np.arange(done[-1] if len(done) else 0) + np.repeat(first - done + count, count)
+
+
 def grams(hashes: np.ndarray, at: np.ndarray, k: int, whole_if_short: bool) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every ``k`` consecutive words of each text, and where each text's begin.
 
