@@ -13,8 +13,10 @@ chunks run from their cuts in parallel; then all heads before the cuts run from
 chunks ended. Chunks without a cut pass the map on, so that heads behind them take a further round. The counts of a
 text's chunks are added by a prefix sum.
 
-Spaces, the lowest and tied merges of this vocabulary, join from the left into runs of at most 16. Null and empty texts
-have no tokens. Repeated rows are counted each for itself; an empty table gives an empty result.
+Spaces, the lowest and tied merges of this vocabulary, join from the left; what each adds to the count follows from
+merging runs of each length up to the longest entry (16; a run of 15 takes two tokens, as no entry has that length). Null and empty texts
+have no tokens. Repeated rows are counted each for itself; an empty table gives an empty result. Other columns are left
+alone. A text of over ``BATCH_BYTES`` is read in parts, the compiled table holds at most ``MOST_CELLS`` cells.
 """
 
 from __future__ import annotations
@@ -30,9 +32,13 @@ from stereobate.llm._text import chunks
 
 SPACE = "▁"
 CHUNK = 384
-BATCH_BYTES = 2 << 20
-#: Cells of the compiled table at which a worker drops it and compiles anew what it needs.
+BATCH_BYTES = 1 << 20
+#: Cells of the compiled table; a step that needs more drops all rows but those in use and compiles anew what it needs.
 MOST_CELLS = 20_000_000
+#: States that a worker keeps from one call to the next.
+MOST_STATES = 300_000
+#: Chunks that run side by side.
+LANES = 4096
 NONE = -1
 #: States are told apart exactly by up to this many continuations of a trie node.
 FEW = 16
@@ -85,6 +91,9 @@ class Transducer:
         self.column_class: list[int] = []
         self.fits: dict[tuple[int, int], bool] = {}
         self.histories: dict[int, tuple] = {}
+        # What each space of a run, up to the longest that is one token, adds to the count; further ones begin anew.
+        tokens = [0] + [len(self.merged(SPACE * n)[0]) for n in range(1, self.longest_run + 1)]
+        self.run_step = [0, *np.diff(tokens).tolist()]
         self.continued: dict[int, list[int] | None] = {}
         self.stands: dict[tuple[int, int], int | None] = {}
         self.alike: dict[tuple, int] = {}
@@ -94,40 +103,64 @@ class Transducer:
         self.width = -(-max(64, len(self.column_class)) // 32) * 32
         self.states: list[tuple] = []
         self.state_number: dict[tuple, int] = {}
+        self.most_rows = max(MOST_CELLS // self.width, 256)
         # A cell holds where the next state's row begins and, in its last five bits, the emitted count plus 16.
-        self.table = np.full((1024, self.width), NONE, np.int32)
+        self.table = np.full((min(1024, self.most_rows), self.width), NONE, np.int32)
+        self.drop_rows()
         self.start = self.state((0, ((0, NONE, 0),)))
         self.first = self.run_state(1)
 
     def state(self, key: tuple) -> int:
         """Number of the state: (spaces at its end, ((trie node, token before it, count less the present one), ...))."""
         if key not in self.state_number:
-            if len(self.states) == len(self.table):
-                self.table = np.concatenate((self.table, np.full_like(self.table, NONE)))
             self.state_number[key] = len(self.states)
             self.states.append(key)
         return self.state_number[key]
 
+    def drop_rows(self) -> None:
+        """Forget the compiled transitions; states keep their numbers."""
+        self.row_state: list[int] = []
+        self.state_row: dict[int, int] = {}
+        self.table[:] = NONE
+
+    def row(self, state: int) -> int:
+        """The table's row of a state, a new one if it has none."""
+        if state not in self.state_row:
+            if len(self.row_state) == len(self.table):
+                more = min(len(self.table), self.most_rows - len(self.table))
+                self.table = np.concatenate((self.table, np.full((more, self.width), NONE, np.int32)))
+            self.state_row[state] = len(self.row_state)
+            self.row_state.append(state)
+        return self.state_row[state]
+
+    def rows(self, states: np.ndarray) -> np.ndarray:
+        """Where the rows of states begin in the flat table."""
+        found, at = np.unique(states, return_inverse=True)
+        return np.array([self.row(int(x)) for x in found], np.int64)[at] * self.width
+
     def run_state(self, spaces: int) -> int:
         spaces = (spaces - 1) % self.longest_run + 1
-        new = 1 if spaces == 1 else 0  # a run's tokens are as few as its length allows
-        return self.state((spaces, ((0, self.number[SPACE], 0), (self.children[0][SPACE], NONE, -new))))
-
-    def history(self, piece: int) -> tuple[tuple[bool, list], tuple[bool, list]]:
-        """How merging builds a piece: whether it does, and (score, first symbol, last symbol) after each merge."""
+        return self.state((spaces, ((0, self.number[SPACE], 0), (self.children[0][SPACE], NONE, -self.run_step[spaces]))))
+
+    def merged(self, text: str) -> tuple[list[str], list]:
+        """The symbols that merging leaves of a text, and (score, first symbol, last symbol) after each merge."""
+        parts = list(text)
+        steps = [(np.inf, parts[0], parts[-1])]
+        while True:
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                score = self.scores.get(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if best is None:
+                return parts, steps
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            steps.append((best, parts[0], parts[-1]))
+
+    def history(self, piece: int) -> tuple[bool, list]:
+        """How merging builds a piece: whether it does, and its steps."""
         if piece not in self.histories:
-            parts = list(self.pieces[piece])
-            steps = [(np.inf, parts[0], parts[-1])]
-            while True:
-                best, at = None, 0
-                for i in range(len(parts) - 1):
-                    score = self.scores.get(parts[i] + parts[i + 1])
-                    if score is not None and (best is None or score > best):
-                        best, at = score, i
-                if best is None:
-                    break
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-                steps.append((best, parts[0], parts[-1]))
+            parts, steps = self.merged(self.pieces[piece])
             self.histories[piece] = (len(parts) == 1, steps)
         return self.histories[piece]
 
@@ -183,8 +216,8 @@ class Transducer:
                 self.stands[node, before] = self.alike.setdefault((node, allowed), before) if allowed else None
         return self.stands[node, before]
 
-    def compile(self, state: int, column: int) -> None:
-        spaces, entries = self.states[state]
+    def compile(self, row: int, column: int) -> None:
+        spaces, entries = self.states[self.row_state[row]]
         kind = self.column_class[column]
         if kind < 5:
             to, emitted = self.start, kind
@@ -192,7 +225,7 @@ class Transducer:
             to, emitted = self.start, 1
         elif self.chars[kind] == SPACE:
             to = self.run_state(spaces + 1)
-            emitted = 1 if spaces % self.longest_run == 0 else 0
+            emitted = self.run_step[spaces % self.longest_run + 1]
         else:
             grown, token, count = [], None, None
             for node, before, less in entries:
@@ -206,7 +239,8 @@ class Transducer:
                     grown.append((child, before, less))
             emitted = count
             to = self.state((0, tuple(sorted([(0, token, 0), *((node, before, less - count) for node, before, less in grown)]))))
-        self.table[state, column] = to * self.width << 5 | emitted + 16
+        to = self.row(to)
+        self.table[row, column] = to * self.width << 5 | emitted + 16
 
     def columns(self, classes: np.ndarray) -> np.ndarray:
         """Table columns of character classes; new classes get one."""
@@ -230,35 +264,61 @@ class Transducer:
 
     def run(self, columns: np.ndarray, begin: np.ndarray, end: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Read ``columns[begin:end]`` of every lane from its state: the end states and the counts."""
+        lanes = min(LANES, self.most_rows // 4)
+        out = [self.run_lanes(columns, begin[i : i + lanes], end[i : i + lanes], state[i : i + lanes]) for i in range(0, len(begin), lanes)]
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def run_lanes(self, columns: np.ndarray, begin: np.ndarray, end: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(begin - end, kind="stable")
         length = (end - begin)[order]
-        at, row, count = begin[order], (state[order] * self.width).astype(np.int64), np.zeros(len(order), np.int64)
+        if len(self.row_state) + 2 * len(order) > self.most_rows:
+            self.drop_rows()
+        at, row, count = begin[order], self.rows(state[order]), np.zeros(len(order), np.int64)
         live = len(length) - np.searchsorted(length[::-1], np.arange(length[0] if len(length) else 0), "right")
         cells = self.table.ravel()
         for step, n in enumerate(live):
-            cell = row[:n] + columns.take(at[:n] + step)
-            to = cells.take(cell)
-            if to.min() < 0:
-                for c in np.unique(cell[to < 0]):
+            column = columns.take(at[:n] + step)
+            to = cells.take(row[:n] + column)
+            while to.min() < 0:
+                missing = np.unique((row[:n] + column)[to < 0])
+                if len(self.row_state) + len(missing) > self.most_rows:  # each needs one more row at most
+                    held = np.array(self.row_state)[row // self.width]
+                    self.drop_rows()
+                    row = self.rows(held)
+                    missing = np.unique(row[:n] + column)
+                for c in missing:
                     self.compile(int(c) // self.width, int(c) % self.width)
                 cells = self.table.ravel()
-                to = cells.take(cell)
+                to = cells.take(row[:n] + column)
             count[:n] += to & 31
             np.right_shift(to, 5, out=row[:n])
         out_state, out_count = np.empty_like(row), np.empty_like(count)
-        out_state[order], out_count[order] = row // self.width, count - 16 * length
+        out_state[order], out_count[order] = np.array(self.row_state)[row // self.width] if len(row) else row, count - 16 * length
         return out_state, out_count
 
     def counts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Tokens of each text."""
-        if self.table.size > MOST_CELLS:
+        """Tokens of each text; a text that comes alone is read in parts, each from the state in which the one before ended."""
+        if len(starts) != 2:
+            return self.part(data, starts, None)[0]
+        total, lo, key = np.zeros(1, np.int64), 0, None
+        while lo < len(data):
+            hi = min(lo + BATCH_BYTES, len(data))
+            while hi < len(data) and data[hi] & 0xC0 == 0x80:
+                hi -= 1
+            n, key = self.part(data[lo:hi], np.array([0, hi - lo]), key)
+            total, lo = total + n, hi
+        return total
+
+    def part(self, data: np.ndarray, starts: np.ndarray, key: tuple | None) -> tuple[np.ndarray, tuple | None]:
+        """Tokens of each text and the last one's end state; with ``key`` the first text goes on from that state."""
+        if len(self.states) > MOST_STATES:
             self.clear()
         codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
         begins = lead[starts]
         out = np.zeros(len(starts) - 1, np.int64)
         if not len(codes):
-            return out
+            return out, key
         columns = self.columns(self.char_class[codes])
         cut = np.ones(len(codes) + 1, bool)
         cut[1:-1] = ~self.beside[columns[:-1], columns[1:]]
@@ -272,8 +332,9 @@ class Transducer:
         body = np.minimum(cuts[np.searchsorted(cuts, lo)], hi)
         opening = nth == 0
         body[opening] = lo[opening]
-        state, count = self.run(columns, body, hi, np.where(opening, self.first, self.start))
-        count += opening  # the space put before each text
+        state, count = self.run(columns, body, hi, np.where(opening, self.first if key is None else self.state(key), self.start))
+        if key is None:
+            count += opening  # the space put before each text
         known = opening | (body < hi)  # chunks whose end state is final
         left = np.flatnonzero(~opening & (body > lo))
         while len(left):
@@ -287,7 +348,7 @@ class Transducer:
             left = left[~ready]
         total = np.concatenate(([0], np.cumsum(count)))
         edge = np.concatenate(([0], np.cumsum(parts)))
-        return total[edge[1:]] - total[edge[:-1]]
+        return total[edge[1:]] - total[edge[:-1]], self.states[int(state[-1])]
 
 
 _COMPILED: dict[int, Transducer] = {}
