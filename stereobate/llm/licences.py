@@ -2,7 +2,7 @@
 
 Only words of the licence vocabulary are indexed, with their positions; their document frequencies over all documents
 give the rarity of each. A template can stand in a document only if all words of its mandatory phrase do. For each such
-pair the document's own rarest of them is looked up: the one with the fewest places there, then of the highest IDF. Each
+pair the rarest of them is looked up: the one of the highest IDF, then with the fewest places in the document. Each
 of its postings names a place where the template would start, and the other words are met by their positions relative
 to that start. A template counts where its mandatory phrase stands word for word; it also scores by the
 rarity-weighted share of its words that stand in place, so that a whole notice scores more than its first line.
@@ -144,7 +144,7 @@ def scan(documents: DataFrame) -> DataFrame:
     phrase = weighted.where("mandatory").groupBy("template", "word").agg(F.min("offset").alias("offset"), F.first("idf").alias("idf"))
     phrase = F.broadcast(phrase.withColumn("kinds", F.count("*").over(by_template)))
     counted = postings.groupBy("row", "word").agg(F.count("*").alias("n")).join(phrase, "word")
-    anchor = counted.groupBy("row", "template").agg(F.count("*").alias("met"), F.first("kinds").alias("kinds"), F.min(F.struct("n", (-F.col("idf")).alias("common"), "word", "offset")).alias("a")).where("met = kinds")
+    anchor = counted.groupBy("row", "template").agg(F.count("*").alias("met"), F.first("kinds").alias("kinds"), F.min(F.struct((-F.col("idf")).alias("common"), "n", "word", "offset")).alias("a")).where("met = kinds")
     starts = anchor.select("row", "template", F.col("a.word").alias("word"), F.col("a.offset").alias("at")).join(postings, ["row", "word"]).select("row", "template", (F.col("pos") - F.col("at")).alias("start"))
     met = starts.join(weighted, "template").withColumn("pos", F.col("start") + F.col("offset")).join(postings.withColumnRenamed("word", "here"), ["row", "pos"]).where("here = word")
     places = met.groupBy("row", "template", "start", "label", "base", "needed", "weight").agg(F.sum(F.col("mandatory").cast("int")).alias("held"), F.sum("idf").alias("in_place")).where("held = needed")
