@@ -29,7 +29,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(_read(spark, sf_dir, "documents"))
-    return mixing.range_sorted(planned).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.range_sorted(planned).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,13 +100,19 @@ ORACLE_SQL: dict[str, str] = {
                           / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level_here
                    FROM ranked),
         level AS (SELECT arg_min(level_here, room) AS level FROM levels WHERE level_here <= room),
-        targets AS (SELECT source, source_size, coalesce(least(cap, level * weight), cap) AS target FROM levels, level),
-        placed AS (SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS stop,
+        schedules(turn, first, last) AS (VALUES (0, 1.5::DOUBLE, 0.5::DOUBLE), (1, 1.0::DOUBLE, 1.0::DOUBLE), (2, 0.5::DOUBLE, 1.5::DOUBLE)),
+        targets AS (SELECT source, source_size, coalesce(least(cap, level * weight), cap) AS target, first, last
+                    FROM levels, level, schedules WHERE turn = (rank - 1) % 3),
+        placed AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.first, t.last, CAST(round(t.target) AS BIGINT) AS stop,
                           CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-                   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
-        SELECT doc_id, size, source_size, target,
-               least(greatest(stop - start, 0), size) + least(greatest(stop - source_size - start, 0), size) AS taken
-        FROM placed""",
+                   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+        taken AS (SELECT *, least(greatest(stop - start, 0), size) + least(greatest(stop - source_size - start, 0), size) AS taken,
+                         start / greatest(target, 1) AS done FROM placed),
+        asked AS (SELECT *, done * (first + last) / 2 AS asked FROM taken)
+        SELECT doc_id, size, source_size, target, taken,
+               CASE WHEN taken = 0 THEN NULL WHEN done <= 0 THEN 0
+                    ELSE least(2 * asked / (first + sqrt(greatest(first * first + 2 * (last - first) * asked, 0))), 1) END AS position
+        FROM asked""",
     "op10_licences": rf"""
         WITH templates(template, label, base, mandatory, off, word) AS (VALUES {_TEMPLATES}),
         split AS (SELECT row_number() OVER () AS row, doc_id,

@@ -48,6 +48,14 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def test_another_schedule_moves_positions_and_keeps_what_is_taken(docs):
+    """Positions come from inverting the cumulative demand of each source's schedule."""
+    one, two = (mixing.plan(docs, schedules=x).toPandas().sort_values(["doc_id", "size"]).reset_index(drop=True) for x in (mixing.SCHEDULES, ((0.5, 1.5), (1.5, 0.5), (1.0, 1.0))))
+    assert one.taken.equals(two.taken)
+    held = one.position.notna() & (one.position > 0)
+    assert held.any() and (one.position[held] != two.position[held]).all()
+
+
 def words(text):
     return [w for w in re.split(rb"[\x20\x09-\x0d]+", (text or "").encode().lower()) if w]
 
