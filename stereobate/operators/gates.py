@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stereobate.operators.rules import findings
@@ -134,17 +132,25 @@ class Checks:
         self.known[name] = (check, evidence)
 
     def run(self, tables: dict[str, DataFrame]) -> DataFrame:
-        """``name, status, rows``: fail if any row fails; a check without its evidence, or that breaks, is ``not_measured``."""
+        """``name, status, rows, reason``: fail if any row fails.
+
+        A check without its evidence or without rows, and one that breaks while it is planned or while it runs, is
+        ``not_measured`` with the reason; the others go on. Each check runs by itself, to one row.
+        """
         session = next(iter(tables.values())).sparkSession
-        parts = []
+        verdicts = []
         for name, (check, evidence) in self.known.items():
+            missing = [e for e in evidence if e not in tables]
+            if missing:
+                verdicts.append((name, "not_measured", 0, f"no {', '.join(missing)}"))
+                continue
             try:
-                rows = check(*[tables[e] for e in evidence]).select("key", "status")
-                failed, n = F.max(F.when(F.col("status") == "fail", 1).otherwise(0)), F.count("*")
-                parts.append(rows.agg(F.when(n == 0, "not_measured").when(failed == 1, "fail").otherwise("pass").alias("status"), n.alias("rows")).select(F.lit(name).alias("name"), "status", "rows"))
-            except (KeyError, PySparkException):
-                parts.append(session.range(1).select(F.lit(name).alias("name"), F.lit("not_measured").alias("status"), F.lit(0).cast("long").alias("rows")))
-        return reduce(DataFrame.unionByName, parts)
+                failed = F.sum(F.when(F.col("status") == "fail", 1).otherwise(0))
+                n, bad = check(*[tables[e] for e in evidence]).select("key", "status").agg(F.count("*"), failed).first()
+                verdicts.append((name, "not_measured", 0, "no rows") if n == 0 else (name, "fail" if bad else "pass", n, None))
+            except Exception as error:  # a check is the user's own code
+                verdicts.append((name, "not_measured", 0, type(error).__name__))
+        return session.createDataFrame(verdicts, "name string, status string, rows long, reason string")
 
 
 __all__ = ["Checks", "atlas_rules", "captured_uv", "join_across_levels", "low_detail_package", "match_triangles", "pivot_rules", "triangle_report"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stereobate.functions.exprs import cross, dot, length, minus
 from stereobate.operators.spatial import box_pairs, cells
-from stereobate.operators.topology import components
+from stereobate.operators.topology import components, cut
 
 AXES = "xyz"
 SIDES = [f"{c}{i}" for c in AXES for i in "01"]
@@ -190,20 +190,20 @@ def open_loops(faces: DataFrame, levels: DataFrame, tol: float, gap: float) -> D
     """``model_id, loop, corners, sides, z, kind``: the components of sides that one face only uses.
 
     kind: ``open`` (a corner without just two sides), ``tilted`` (not level), ``bottom`` (at the lowest level), ``plate`` (at
-    another), ``foot`` (up to ``gap`` above one), else ``other``. ``loop`` numbers the components by a hash of a corner.
+    another), ``foot`` (up to ``gap`` above one), else ``other``; ``levels(model_id, elev)`` are each model's own. ``loop`` numbers the components by a hash of a corner.
     """
-    open_ = side_uses(faces).where("uses = 1")
+    open_ = cut(side_uses(faces).where("uses = 1"))  # four branches read it
     node = lambda c: F.xxhash64("model_id", c)
     ends = open_.select("model_id", F.explode(F.array("p", "q")).alias("p"))
     corners = ends.groupBy("model_id", "p").agg(F.count("*").alias("degree")).withColumn("node", node("p"))
     label = components(corners.select("node"), open_.select(node("p").alias("a"), node("q").alias("b")))
     loops = corners.join(label, "node").groupBy("model_id", F.col("component").alias("loop")).agg(F.count("*").alias("corners"), (F.sum("degree") / 2).cast("long").alias("sides"), F.min(F.col("degree") == 2).alias("closed"), F.min("p.z").alias("z"), F.max("p.z").alias("top"))
-    bounds = levels.agg(F.sort_array(F.collect_list("elev")).alias("elevs"))  # a building's levels: a short list
+    bounds = levels.groupBy("model_id").agg(F.sort_array(F.collect_list("elev")).alias("elevs"))  # a building's levels: a short list
     z = F.col("z")
     at = F.exists("elevs", lambda e: F.abs(z - e) <= tol)
     above = F.exists("elevs", lambda e: (z - e > tol) & (z - e <= gap))
     kind = F.when(~F.col("closed"), "open").when(F.col("top") - z > tol, "tilted").when(F.abs(z - F.col("elevs")[0]) <= tol, "bottom").when(at, "plate").when(above, "foot").otherwise("other")
-    return loops.join(F.broadcast(bounds)).select("model_id", "loop", "corners", "sides", "z", kind.alias("kind"))
+    return loops.join(bounds, "model_id", "left").select("model_id", "loop", "corners", "sides", "z", kind.alias("kind"))
 
 
 def pair_slabs(feet: DataFrame, plates: DataFrame, share: float, gap: tuple[float, float], size: float) -> DataFrame:
@@ -259,16 +259,18 @@ def union_area(rects: DataFrame, on: list[str]) -> DataFrame:
 def box_parts(rects: DataFrame) -> DataFrame:
     """``part, axes, depths, is_box``: parts of axis-parallel rectangles (axis, depth, area and box) that are closed boxes.
 
-    A box has just two depths along each of three axes, and the faces at either depth cover the box's own side.
+    A box has just two depths along each of three axes, and the faces at either depth cover the box's own side together;
+    what several of them cover counts once.
     """
     c = F.col
     extent = rects.groupBy("part").agg(*[f(x).alias(f"b{x}") for f, x in zip((F.min, F.max) * 3, SIDES)])
     span = {k: c(f"b{k}1") - c(f"b{k}0") for k in AXES}
     depth = F.when(c("axis") == 0, c("x0")).when(c("axis") == 1, c("y0")).otherwise(c("z0"))
-    size = F.when(c("axis") == 0, (c("y1") - c("y0")) * (c("z1") - c("z0"))).when(c("axis") == 1, (c("x1") - c("x0")) * (c("z1") - c("z0"))).otherwise((c("x1") - c("x0")) * (c("y1") - c("y0")))
-    at = rects.groupBy("part", "axis", depth.alias("depth")).agg(F.sum(size).alias("covered")).join(extent, "part")
+    flat = [F.when(c("axis") == 0, c(a)).when(c("axis") == 1, c(b)).otherwise(c(d)) for a, b, d in (("y0", "x0", "x0"), ("y1", "x1", "x1"), ("z0", "z0", "y0"), ("z1", "z1", "y1"))]
+    sides = rects.select("part", "axis", depth.alias("depth"), *[f.alias(k) for f, k in zip(flat, ("u0", "u1", "v0", "v1"))])
+    at = union_area(sides, ["part", "axis", "depth"]).withColumnRenamed("area", "covered").join(extent, "part")
     side = F.when(c("axis") == 0, span["y"] * span["z"]).when(c("axis") == 1, span["x"] * span["z"]).otherwise(span["x"] * span["y"])
-    per = at.groupBy("part", "axis").agg(F.count("*").alias("depths"), F.min(c("covered") >= side).alias("full"))
+    per = at.groupBy("part", "axis").agg(F.count("*").alias("depths"), F.min(c("covered") >= side - 1e-9).alias("full"))
     return per.groupBy("part").agg(F.count("*").alias("axes"), F.max("depths").alias("depths"), ((F.count("*") == 3) & (F.max("depths") == 2) & (F.min("depths") == 2) & F.min("full")).alias("is_box"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stereobate.functions.exprs import overlap
+from stereobate.operators.topology import cut
 
 #: Rule tables (levels, ranges, masses of one site) up to this number of rows are broadcast.
 RULE_ROWS = 100_000
@@ -64,11 +65,71 @@ def outside(points: DataFrame, rects: DataFrame, tol: float) -> DataFrame:
     return points.join(bounded(rects.select("x0", "x1", "y0", "y1")), held, "left_anti")
 
 
-def nearest_by(left: DataFrame, right: DataFrame, on: list[str], distance: Column, key: str, tie: list[str]) -> DataFrame:
-    """For each ``key`` of ``left`` the ``right`` row of the same ``on`` with the least distance, then the least ``tie``."""
-    met = left.join(right, on).withColumn("distance", distance)
+def to_segment(x: Column, y: Column, px: Column, py: Column, qx: Column, qy: Column) -> Column:
+    """Distance in the plane from (x, y) to the segment from p to q, to 9 digits, so that equal distances are equal."""
+    dx, dy = qx - px, qy - py
+    t = F.coalesce(((x - px) * dx + (y - py) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
+    return F.round(F.hypot(x - px - t * dx, y - py - t * dy), 9)
+
+
+def nearest(left: DataFrame, right: DataFrame, on: list[str], axes: list[tuple[str, str, str, str]], distance: Column, key: str, tie: list[str], size: float) -> DataFrame:
+    """``on.., key, distance`` and the columns of ``right``: for each ``key`` the ``right`` row of the same ``on`` with the
+    least ``distance``, then the least ``tie``. Rows without a ``right`` row of their ``on`` are left out.
+
+    ``axes`` names the extents along each axis, of ``left`` and of ``right`` (low, high); ``distance`` is never less than
+    the gap between the extents along one axis. The search goes over grids of cells of ``size``, twice that, and so on:
+    each meets what lies within its reach, and a row is done where its best lies within the reach too, as nothing nearer
+    can lie beyond. Only the others go on; the last grid reaches over all extents. A grid's cells grow with its reach, so
+    a row lies in few cells of each. Pairs whose ``distance`` is null don't count.
+    """
     cols = [c for c in right.columns if c not in on]
-    return met.groupBy(*on, key).agg(F.min_by(F.struct("distance", *cols), F.struct("distance", *tie)).alias("n")).select(*on, key, "n.*")
+    todo = cut((left.join(right.select(*on).distinct(), on, "left_semi") if on else left))
+    ends = lambda df, lo, hi: [f(F.col(c)).alias(f"{c}_{i}") for i, (f, c) in enumerate(((F.min, lo), (F.max, hi)))]
+    whole = 0.0
+    for llo, lhi, rlo, rhi in axes:
+        a, b = left.agg(*ends(left, llo, lhi)).first(), right.agg(*ends(right, rlo, rhi)).first()
+        if a[0] is not None and b[0] is not None:
+            whole = max(whole, a[1] - b[0], b[1] - a[0])
+    done, reach = None, size
+    while True:
+        last = reach > whole
+        names = [f"_c{i}" for i in range(len(axes))]
+        at = cells(todo, [(x[0], x[1]) for x in axes], 2 * reach, names, reach)
+        there = cells(right, [(x[2], x[3]) for x in axes], 2 * reach, names)
+        met = at.join(there, [*on, *names]).withColumn("distance", distance).where("distance is not null")
+        best = met.groupBy(*on, key).agg(F.min_by(F.struct("distance", *cols), F.struct("distance", *tie)).alias("n")).select(*on, key, "n.*")
+        if not last:
+            best = best.where(F.col("distance") <= reach)
+        best = cut(best)
+        done = best if done is None else done.unionByName(best)
+        if last:
+            return done
+        todo = cut(todo.join(best.select(*on, key), [*on, key], "left_anti"))
+        if todo.isEmpty():
+            return done
+        reach *= 2
+
+
+def nearest_wall(points: DataFrame, walls: DataFrame, on: list[str], half_width: float, slack: float, size: float) -> DataFrame:
+    """``on.., point_id, wall, distance, fits``: the nearest wall among those whose span holds the element, else of all.
+
+    ``points(on.., point_id, x, y)``, ``walls(on.., wall, px, py, qx, qy)``. A wall's span holds an element if the point,
+    ``half_width`` to either side along the wall, lies between its ends to within ``slack``. Ties go to the smaller wall.
+    A point that no span holds meets every wall of its ``on`` before that is known; such points are few.
+    """
+    boxed = walls.select(*on, "wall", "px", "py", "qx", "qy", F.least("px", "qx").alias("wx0"), F.greatest("px", "qx").alias("wx1"), F.least("py", "qy").alias("wy0"), F.greatest("py", "qy").alias("wy1"))
+    c = F.col
+    length = F.hypot(c("qx") - c("px"), c("qy") - c("py"))
+    along = ((c("x") - c("px")) * (c("qx") - c("px")) + (c("y") - c("py")) * (c("qy") - c("py"))) / F.nullif(length, F.lit(0.0))
+    fits = (along - half_width >= -slack) & (along + half_width <= length + slack)
+    distance = to_segment(c("x"), c("y"), c("px"), c("py"), c("qx"), c("qy"))
+    axes = [("x", "x", "wx0", "wx1"), ("y", "y", "wy0", "wy1")]
+    spanned = nearest(points, boxed, on, axes, F.when(fits, distance), "point_id", ["wall"], size).where("distance is not null")
+    rest = points.join(spanned.select(*on, "point_id"), [*on, "point_id"], "left_anti")
+    any_ = nearest(rest, boxed, on, axes, distance, "point_id", ["wall"], size)
+    shown = lambda df, held: df.select(*on, "point_id", "wall", "distance", F.lit(held).alias("fits"))
+    return shown(spanned, True).unionByName(shown(any_, False))
 
 
 def covers(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
@@ -85,7 +146,11 @@ def covers(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
 
 
 def top_surface(points: DataFrame, tris: DataFrame, size: float) -> DataFrame:
-    """``point_id, z, face_id``: the highest triangle above each plan point; points without one have nulls."""
+    """``point_id, z, face_id, extrapolated``: the highest triangle over each plan point.
+
+    Where none is, the plane of the triangle nearest in plan is carried on to the point (``extrapolated``); ties go to the
+    higher plane there, then to the smaller face. Upright triangles take no part.
+    """
     lo = lambda c: F.least(f"a{c}", f"b{c}", f"c{c}")
     hi = lambda c: F.greatest(f"a{c}", f"b{c}", f"c{c}")
     boxed = tris.select("face_id", *[f"{k}{c}" for k in "abc" for c in "xyz"], lo("x").alias("x0"), hi("x").alias("x1"), lo("y").alias("y0"), hi("y").alias("y1"))
@@ -98,7 +163,15 @@ def top_surface(points: DataFrame, tris: DataFrame, size: float) -> DataFrame:
     met = at.join(placed, ["cx_", "cy_"]).where(F.abs(d) > 1e-12).withColumn("u", u).withColumn("v", v).where("u >= 0 and v >= 0 and u + v <= 1")
     met = met.withColumn("z", c("u") * c("az") + c("v") * c("bz") + (1 - c("u") - c("v")) * c("cz"))
     best = met.groupBy("point_id").agg(F.max_by(F.struct("z", "face_id"), F.struct("z", (-c("face_id")).alias("f"))).alias("t"))
-    return points.select("point_id").join(best, "point_id", "left").select("point_id", "t.z", "t.face_id")
+    over = best.select("point_id", "t.z", "t.face_id", F.lit(False).alias("extrapolated"))
+    bare = points.join(best, "point_id", "left_anti")
+    corner = lambda k: (c(f"{k}x"), c(f"{k}y"))
+    off = F.least(*[to_segment(c("x"), c("y"), *corner(p), *corner(q)) for p, q in ("ab", "bc", "ca")])
+    sloped = boxed.where(F.abs((c("bx") - c("ax")) * (c("cy") - c("ay")) - (c("by") - c("ay")) * (c("cx") - c("ax"))) > 1e-12)
+    plane = F.round(u * c("az") + v * c("bz") + (1 - u - v) * c("cz"), 9)
+    met = nearest(bare, sloped, [], [("x", "x", "x0", "x1"), ("y", "y", "y0", "y1")], off, "point_id", [(-plane).alias("up"), F.col("face_id")], size)
+    beside = met.join(points.select("point_id", "x", "y"), "point_id").select("point_id", plane.alias("z"), "face_id", F.lit(True).alias("extrapolated"))
+    return over.unionByName(beside)
 
 
 def t_junctions(sides: DataFrame, vertices: DataFrame, size: float, tol: float) -> DataFrame:
@@ -119,11 +192,14 @@ def t_junctions(sides: DataFrame, vertices: DataFrame, size: float, tol: float)
     return met.where(span > 0).where((t * F.sqrt(span) > tol) & ((1 - t) * F.sqrt(span) > tol) & (off <= tol * tol)).select("model_id", "a", "b", "vid").distinct()
 
 
-def nested(outer: DataFrame, inner: DataFrame, on: list[str], tol: float) -> DataFrame:
-    """Pairs where an inner interval box lies in an outer one, to within ``tol``; x and z ranges, ids ``outer``/``inner``."""
-    o = outer.select(*on, F.col("face_id").alias("outer"), *[F.col(c).alias(f"o_{c}") for c in ("x0", "x1", "z0", "z1")])
-    i = inner.select(*on, F.col("face_id").alias("inner"), *[F.col(c).alias(f"i_{c}") for c in ("x0", "x1", "z0", "z1")])
-    met = o.join(i, on).where("outer <> inner")
+def nested(outer: DataFrame, inner: DataFrame, on: list[str], tol: float, size: float) -> DataFrame:
+    """Pairs where an inner interval box lies in an outer one, to within ``tol``; x and z ranges, ids ``outer``/``inner``.
+
+    The outer's cells hold the inner's low corner, which lies in one cell, so that a pair meets once.
+    """
+    o = cells(outer, [("x0", "x1"), ("z0", "z1")], size, ["_i", "_k"], tol).select(*on, "_i", "_k", F.col("face_id").alias("outer"), *[F.col(c).alias(f"o_{c}") for c in ("x0", "x1", "z0", "z1")])
+    i = inner.select(*on, *[F.floor(F.col(c) / size).cast("long").alias(n) for c, n in (("x0", "_i"), ("z0", "_k"))], F.col("face_id").alias("inner"), *[F.col(c).alias(f"i_{c}") for c in ("x0", "x1", "z0", "z1")])
+    met = o.join(i, [*on, "_i", "_k"]).where("outer <> inner")
     for c in "xz":
         met = met.where((F.col(f"i_{c}0") >= F.col(f"o_{c}0") - tol) & (F.col(f"i_{c}1") <= F.col(f"o_{c}1") + tol))
     return met.select(*on, "outer", "inner")

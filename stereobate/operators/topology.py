@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stereobate.functions.exprs import cell, corner, cross, dot, length, minus
 
@@ -83,14 +84,8 @@ def edge_gate(uses: DataFrame, most_boundary: int = 0) -> DataFrame:
     return out.withColumn("status", F.when((F.col("non_manifold") == 0) & (F.col("boundary") <= most_boundary), "pass").otherwise("fail"))
 
 
-def components(nodes: DataFrame, links: DataFrame, folder: str | None = None) -> DataFrame:
-    """``nodes(node)``, ``links(a, b)`` -> ``node, component``: the smallest node that can be reached.
-
-    Star contraction: every round hangs the larger neighbours of a node on its least neighbour, then the smaller
-    ones. The rounds grow with the logarithm of the chain length, not with the length, and lineage is cut by
-    ``checkpoint`` (reliable, in the shared checkpoint folder) after each.
-    """
-    spark = nodes.sparkSession
+def checkpoint_folder(spark: SparkSession, folder: str | None = None) -> None:
+    """Have a reliable checkpoint folder set: the session's own, ``folder``, or the one that ``spark.checkpoint.dir`` names."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = folder or context.getConf().get("spark.checkpoint.dir")
@@ -101,6 +96,34 @@ def components(nodes: DataFrame, links: DataFrame, folder: str | None = None) ->
 
             shared = tempfile.mkdtemp(prefix="stereobate-")  # a local session has one machine only
         context.setCheckpointDir(shared)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: no lineage, no constraints to carry on, known sizes."""
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+SALTS = 8
+
+
+def _salted(pairs: DataFrame, low: DataFrame) -> DataFrame:
+    """``pairs(u, v)`` with ``m`` of ``low(u, m)``; the neighbours of one ``u`` are dealt over SALTS tasks."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    return salted.join(low.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["u", "salt"]).drop("salt")
+
+
+def components(nodes: DataFrame, links: DataFrame, folder: str | None = None) -> DataFrame:
+    """``nodes(node)``, ``links(a, b)`` -> ``node, component``: the smallest node that can be reached.
+
+    Star contraction: every round hangs the larger neighbours of a node on its least neighbour, then the smaller
+    ones. The rounds grow with the logarithm of the chain length, not with the length, and lineage is cut by
+    ``checkpoint`` (reliable, in the shared checkpoint folder) after each. Joins on a hub are salted by its neighbour.
+    """
+    checkpoint_folder(nodes.sparkSession, folder)
     at = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
     seen = None
     while True:
@@ -110,9 +133,9 @@ def components(nodes: DataFrame, links: DataFrame, folder: str | None = None) ->
         seen = now
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _salted(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        small = _salted(large, low).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         at = small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct().checkpoint()
     return nodes.select("node").distinct().join(at.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
@@ -273,4 +296,4 @@ def plan_cells(tris: DataFrame, size: float) -> DataFrame:
     return cells.where(inside).select("model_id", "i", "j").distinct()
 
 
-__all__ = ["canonical_faces", "components", "dominant_planes", "dot", "duplicate_faces", "duplicate_vertices", "edge_gate", "edge_uses", "edges", "face_corners", "face_measures", "fan_vertices", "geometry_key", "interface_edges", "mesh_inventory", "plan_cells", "project_dominant", "section", "tri_measures", "triangulate", "weld", "weld_robust"]
+__all__ = ["canonical_faces", "checkpoint_folder", "components", "cut", "dominant_planes", "dot", "duplicate_faces", "duplicate_vertices", "edge_gate", "edge_uses", "edges", "face_corners", "face_measures", "fan_vertices", "geometry_key", "interface_edges", "mesh_inventory", "plan_cells", "project_dominant", "section", "tri_measures", "triangulate", "weld", "weld_robust"]

@@ -83,6 +83,18 @@ def panel_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels(spark, sf_dir).withColumn("pts", F.when(c("axis") == 0, ring[0]).when(c("axis") == 1, ring[1]).otherwise(ring[2]))
 
 
+def model_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``model_id, level, elev``: each panel model's own storeys; those of odd models stand a quarter higher."""
+    listed = F.array(*[F.struct(F.lit(n).alias("level"), F.lit(e).alias("elev")) for n, e in LEVELS])
+    models = panels(spark, sf_dir).select("model_id").distinct()
+    return models.select("model_id", F.explode(listed).alias("l")).select("model_id", "l.level", (F.col("l.elev") + F.col("model_id") % 2 * 0.25).alias("elev"))
+
+
+def plan_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``model_id, face_id, px, py, qx, qy``: upright panels seen from above."""
+    return panels(spark, sf_dir).where("axis < 2").select("model_id", "face_id", F.col("x0").alias("px"), F.col("y0").alias("py"), F.col("x1").alias("qx"), F.col("y1").alias("qy"))
+
+
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``model_id, stage, name, status``: events as findings."""
     kind = F.col("event_type")
@@ -110,6 +122,8 @@ _CTE = {
                               (l_partkey % 24) * 0.25::DOUBLE AS p, floor(l_extendedprice)::BIGINT % 32 * 0.25::DOUBLE AS u, floor(l_extendedprice / 32)::BIGINT % 32 * 0.25::DOUBLE AS v,
                               0.25::DOUBLE + floor(l_quantity)::BIGINT % 4 * 0.25::DOUBLE AS w, 0.25::DOUBLE + l_suppkey % 4 * 0.25::DOUBLE AS h
                        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS seq FROM lineitem))""",
+    "model_levels": "SELECT model_id, level, elev + model_id % 2 * 0.25::DOUBLE AS elev FROM (SELECT DISTINCT model_id FROM panels), levels",
+    "plan_segments": "SELECT model_id, face_id, x0 AS px, y0 AS py, x1 AS qx, y1 AS qy FROM panels WHERE axis < 2",
     "panel_sides": """SELECT model_id, face_id, c[1] AS ax, c[2] AS ay, c[3] AS az, d[1] AS bx, d[2] AS by_, d[3] AS bz FROM (
                         SELECT model_id, face_id, r[i] AS c, r[i % 4 + 1] AS d FROM (
                           SELECT model_id, face_id, CASE axis WHEN 0 THEN [[x0,y0,z0],[x0,y1,z0],[x0,y1,z1],[x0,y0,z1]] WHEN 1 THEN [[x0,y0,z0],[x1,y0,z0],[x1,y0,z1],[x0,y0,z1]]
@@ -123,7 +137,7 @@ _CTE = {
     "tri_points": """SELECT t.*, p.x AS ax, p.y AS ay, p.z AS az, q.x AS bx, q.y AS by_, q.z AS bz, r.x AS cx, r.y AS cy, r.z AS cz
                      FROM tris t JOIN vertices p ON t.a = p.vid JOIN vertices q ON t.b = q.vid JOIN vertices r ON t.c = r.vid""",
 }
-_NEEDS = {"panel_sides": ["panels"], "open_sides": ["panel_sides"], "points": ["corners", "vertices"], "boxes": ["points"], "edges": ["corners"], "tris": ["corners"], "tri_points": ["tris", "vertices"]}
+_NEEDS = {"model_levels": ["panels", "levels"], "plan_segments": ["panels"], "panel_sides": ["panels"], "open_sides": ["panel_sides"], "points": ["corners", "vertices"], "boxes": ["points"], "edges": ["corners"], "tris": ["corners"], "tri_points": ["tris", "vertices"]}
 
 
 def with_(*names: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stereobate.operators import spatial as S, tables as K, topology as T
-from stereobate.plans.binding import MATERIAL_RANGES, Registry, boxes, corners, findings, levels, material_ranges, panel_faces, panels, points, table, vertices, with_
+from stereobate.plans.binding import MATERIAL_RANGES, Registry, boxes, corners, findings, levels, material_ranges, panel_faces, panels, plan_segments, points, table, vertices, with_
 
 R = Registry()
 
@@ -53,20 +53,22 @@ def c6_nearest_box(spark, sf):
     left = b.where("face_id % 2 = 0").select("model_id", "face_id", *[F.col(s).alias(f"p_{s}") for s in sides])
     right = b.where("face_id % 2 = 1").select("model_id", F.col("face_id").alias("other"), *sides)
     distance = sum((F.abs(F.col(f"p_{s}") - F.col(s)) for s in sides[1:]), F.abs(F.col("p_x0") - F.col("x0")))
-    return S.nearest_by(left, right, ["model_id"], distance, "face_id", ["other"]).select("model_id", "face_id", "other", "distance")
-
-
-_WALLS = "walls AS (SELECT n_nationkey AS wall, n_nationkey * 0.5::DOUBLE AS px, (n_nationkey % 5) * 0.75::DOUBLE AS py FROM nation)"
-
-
-@R.add("c5_nearest_wall", with_("vertices") + f""", {_WALLS}
-    SELECT vid, wall, round(sqrt((x-px)*(x-px)+(y-py)*(y-py)), 6) AS distance FROM vertices, walls QUALIFY row_number() OVER (PARTITION BY vid ORDER BY sqrt((x-px)*(x-px)+(y-py)*(y-py)), wall) = 1""")
+    # The summed difference is never less than that of the low corners along one axis.
+    axes = [(f"p_{c}0", f"p_{c}0", f"{c}0", f"{c}0") for c in "xyz"]
+    return S.nearest(left, right, ["model_id"], axes, distance, "face_id", ["other"], 1.0).select("model_id", "face_id", "other", "distance")
+
+
+# Walls run along an axis: the distance is that to a box without width.
+@R.add("c5_nearest_wall", with_("panels", "plan_segments") + """,
+    p AS (SELECT model_id, face_id AS point_id, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM panels WHERE axis = 2),
+    m AS (SELECT p.model_id, point_id, s.face_id AS wall, round(sqrt(pow(greatest(px - x, x - qx, 0), 2) + pow(greatest(py - y, y - qy, 0), 2)), 9) AS distance,
+                 CASE WHEN py = qy THEN x - 0.25 >= px - 0.05 AND x + 0.25 <= qx + 0.05 ELSE y - 0.25 >= py - 0.05 AND y + 0.25 <= qy + 0.05 END AS fits
+          FROM p JOIN plan_segments s USING (model_id))
+    SELECT model_id, point_id, wall, round(distance, 6) AS distance, fits FROM m QUALIFY row_number() OVER (PARTITION BY model_id, point_id ORDER BY NOT fits, distance, wall) = 1""")
 def c5_nearest_wall(spark, sf):
-    walls = table(spark, sf, "nation").select(F.lit(1).alias("k"), F.col("n_nationkey").alias("wall"), (F.col("n_nationkey") * 0.5).alias("px"), (F.col("n_nationkey") % 5 * 0.75).alias("py"))
-    left = vertices(spark, sf).withColumn("k", F.lit(1))
-    d = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py")))
-    # 25 walls of one site: a rule table, broadcast.
-    return S.nearest_by(left, F.broadcast(walls), ["k"], d, "vid", ["wall"]).select("vid", "wall", F.round("distance", 6).alias("distance"))
+    points = panels(spark, sf).where("axis = 2").select("model_id", F.col("face_id").alias("point_id"), ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
+    walls = plan_segments(spark, sf).withColumnRenamed("face_id", "wall")
+    return S.nearest_wall(points, walls, ["model_id"], 0.25, 0.05, 1.0).withColumn("distance", F.round("distance", 6))
 
 
 @R.add("c10_outside", with_("vertices") + """,
@@ -97,13 +99,17 @@ def c11_covers(spark, sf):
     return S.covers(_plan_points(spark, sf), _polygons(spark, sf), 0.5)
 
 
-@R.add("c12_top_surface", with_("panels") + f""", {_PLAN_POINTS}
-    SELECT point_id, max(z0) AS z FROM pp LEFT JOIN panels ON axis = 2 AND x >= x0 AND x <= x1 AND y >= y0 AND y <= y1 GROUP BY point_id""")
+@R.add("c12_top_surface", with_("panels") + f""", {_PLAN_POINTS},
+    flat AS (SELECT DISTINCT x0, x1, y0, y1, z0 FROM panels WHERE axis = 2),
+    over_ AS (SELECT point_id, max(z0) AS z FROM pp JOIN flat ON x >= x0 AND x <= x1 AND y >= y0 AND y <= y1 GROUP BY point_id),
+    bare AS (SELECT DISTINCT x, y FROM pp WHERE point_id NOT IN (SELECT point_id FROM over_)),
+    beside AS (SELECT x, y, arg_min(z0, (round(sqrt(pow(greatest(x0 - x, x - x1, 0), 2) + pow(greatest(y0 - y, y - y1, 0), 2)), 9), -z0)) AS z FROM bare, flat GROUP BY x, y)
+    SELECT point_id, z, false AS extrapolated FROM over_ UNION ALL SELECT point_id, z, true FROM pp JOIN beside USING (x, y) WHERE point_id NOT IN (SELECT point_id FROM over_)""")
 def c12_top_surface(spark, sf):
     p = panels(spark, sf).where("axis = 2")
     half = lambda b, c: F.struct(*[F.col(x).alias(f"{k}{i}") for k, corner in zip("abc", (("x0", "y0"), b, c)) for i, x in zip("xyz", (*corner, "z0"))])
     tris = p.select("face_id", F.explode(F.array(half(("x1", "y0"), ("x1", "y1")), half(("x1", "y1"), ("x0", "y1")))).alias("t")).select("face_id", "t.*")
-    return S.top_surface(_plan_points(spark, sf), tris, 0.5).select("point_id", F.round("z", 9).alias("z"))
+    return S.top_surface(_plan_points(spark, sf), tris, 0.5).select("point_id", F.round("z", 9).alias("z"), "extrapolated")
 
 
 # Sides run along an axis: a vertex inside one has its two other coordinates.
@@ -130,7 +136,7 @@ def c14_t_junctions(spark, sf):
       AND i.x0 >= o.x0 - 0.012 AND i.x1 <= o.x1 + 0.012 AND i.z0 >= o.z0 - 0.012 AND i.z1 <= o.z1 + 0.012""".replace("AS outer", 'AS "outer"').replace("AS inner", 'AS "inner"'))
 def c17_nest(spark, sf):
     b = _small(spark, sf)
-    return S.nested(b, b, ["model_id"], 0.012)
+    return S.nested(b, b, ["model_id"], 0.012, 1.0)
 
 
 @R.add("c18_expand_instances", "SELECT o_orderkey AS object_id, p_partkey AS part_id, p_size FROM orders JOIN part ON p_partkey // 8 = o_custkey")

@@ -81,9 +81,9 @@ def a4_captured_uv(spark, sf):
 
 
 @R.add("j1_check_registry", with_("corners", "panels") + """
-    SELECT 'materials' AS name, CASE WHEN min(material) = 0 THEN 'fail' ELSE 'pass' END AS status, count(DISTINCT face_id) AS rows FROM corners
-    UNION ALL SELECT 'extents', CASE WHEN bool_or(x1 > 9 OR y1 > 9 OR z1 > 9) THEN 'fail' ELSE 'pass' END, count(*) FROM panels
-    UNION ALL SELECT 'breaks', 'not_measured', 0 UNION ALL SELECT 'no_evidence', 'not_measured', 0""")
+    SELECT 'materials' AS name, CASE WHEN min(material) = 0 THEN 'fail' ELSE 'pass' END AS status, count(DISTINCT face_id) AS rows, NULL::VARCHAR AS reason FROM corners
+    UNION ALL SELECT 'extents', CASE WHEN bool_or(x1 > 9 OR y1 > 9 OR z1 > 9) THEN 'fail' ELSE 'pass' END, count(*), NULL FROM panels
+    UNION ALL SELECT 'breaks', 'not_measured', 0, 'AnalysisException' UNION ALL SELECT 'no_evidence', 'not_measured', 0, 'no renders'""")
 def j1_check_registry(spark, sf):
     checks, verdict = G.Checks(), lambda bad: F.when(bad, "fail").otherwise("pass").alias("status")
     checks.register("materials", lambda c: c.groupBy(F.col("face_id").alias("key")).agg(verdict(F.min("material") == 0)), ["corners"])
