@@ -35,8 +35,9 @@ BREAKS[[*b".,;:!?", 10, 11, 12, 13]] = True
 GAP = BREAKS.copy()
 GAP[[9, 32]] = True
 OTHER = 0
+#: Places of prefixes that a task counts before it hands over.
 FLUSH = 1 << 21
-HOT, SLICES = 10_000, 64
+HOT, SLICES, PARTS = 10_000, 64, 16
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -68,7 +69,7 @@ def _words_counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Stripes of the empty prefix: words of each language with their hash and count."""
     for batch in batches:
         names, codes, lang_hashes = _lang_hashes(batch.column("lang"))
-        for row, _, data, starts in chunks(batch.column("text"), 8 << 20):
+        for row, _, data, starts in chunks(batch.column("text"), 4 << 20):
             begin, end, at, hashes = _hashed(data, starts)
             if not len(hashes):
                 continue
@@ -126,24 +127,27 @@ def _bit_table(frequent: DataFrame) -> np.ndarray:
 def _stripes(shared, k: int):
     """Counters of the words after each prefix of ``k - 1`` words, as rows of (lang, words, slice, nexts, counts)."""
 
-    def counted(names: list[pa.Array], lang: np.ndarray, prefix: list[np.ndarray], nexts: np.ndarray, part: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-        spread = mix(keys + part.astype(np.uint64))
-        order = np.lexsort((nexts, spread))
-        lang, nexts, part, spread = lang[order], nexts[order], part[order], spread[order]
-        prefix = [p[order] for p in prefix]
-        stripe = np.ones(len(order), bool)
+    def counted(names: pa.Array, held: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        order = np.lexsort((columns[1], columns[0]))
+        for i, c in enumerate(columns):  # one at a time, as a task's memory is small
+            columns[i] = c[order]
+        del order, c
+        spread, nexts, part, lang, *prefix = columns
+        stripe = np.ones(len(nexts), bool)
         stripe[1:] = (spread[1:] != spread[:-1]) | (lang[1:] != lang[:-1]) | (part[1:] != part[:-1])
         for p in prefix:
             stripe[1:] |= p[1:] != p[:-1]
         entry = stripe.copy()
         entry[1:] |= nexts[1:] != nexts[:-1]
         first = np.flatnonzero(entry)
-        count = np.diff(np.append(first, len(order)))
+        count = np.diff(np.append(first, len(nexts)))
         heads = np.flatnonzero(stripe)
         offsets = np.append(np.searchsorted(first, heads), len(first)).astype(np.int32)
         flat = np.stack([p[heads] for p in prefix], 1).ravel().view(np.int64)
         held = pa.ListArray.from_arrays(pa.array(np.arange(len(heads) + 1, dtype=np.int32) * (k - 1)), pa.array(flat))
-        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (nexts[first].view(np.int64), count.astype(np.int64))]
+        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (nexts[first].view(np.int64), count.astype(np.int32))]
         return pa.RecordBatch.from_arrays([names.take(pa.array(lang[heads])), held, pa.array(part[heads].astype(np.int32)), *lists], ["lang", "words", "slice", "nexts", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +156,10 @@ def _stripes(shared, k: int):
         held: list[tuple] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            columns = [np.concatenate(x) for x in zip(*held)]
-            return counted(pa.array(list(known), pa.string()), columns[0], columns[1:k], columns[k], columns[k + 1], columns[k + 2])
-
         for batch in batches:
             names, codes, lang_hashes = _lang_hashes(batch.column("lang"))
-            number = np.array([known.setdefault(x, len(known)) for x in names.to_pylist()], np.int64)
-            for row, _, data, starts in chunks(batch.column("text"), 4 << 20):
+            number = np.array([known.setdefault(x, len(known)) for x in names.to_pylist()], np.int32)
+            for row, _, data, starts in chunks(batch.column("text")):
                 begin, _, at, hashes = _hashed(data, starts)
                 if len(hashes) < k - 1:
                     continue
@@ -177,14 +177,14 @@ def _stripes(shared, k: int):
                 nexts = np.where(follows[i], hashes[np.minimum(i + k - 1, len(hashes) - 1)], np.uint64(OTHER))
                 keys = keys[i]
                 sliced = hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys if len(hot) else np.zeros(len(i), bool)
-                part = np.where(sliced, nexts % np.uint64(SLICES), np.uint64(0)).astype(np.int64)
-                held.append((number[lang[i]], *(hashes[i + j] for j in range(k - 1)), nexts, part, keys))
+                part = np.where(sliced, nexts % np.uint64(SLICES), np.uint64(0)).astype(np.int8)
+                held.append((mix(keys + part.astype(np.uint64)), nexts, part, number[lang[i]], *(hashes[i + j] for j in range(k - 1))))
                 size += len(i)
                 if size >= FLUSH:
-                    yield flush()
-                    held, size = [], 0
+                    yield counted(pa.array(list(known), pa.string()), held)
+                    size = 0
         if size:
-            yield flush()
+            yield counted(pa.array(list(known), pa.string()), held)
 
     return run
 
@@ -224,6 +224,7 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int, width: int) -> Iterat
         if not batch.num_rows:
             continue
         batch = batch.select(["lang", "words", "slice", "nexts", "counts"])
+        batch = batch.set_column(4, "counts", batch.column("counts").cast(pa.list_(pa.int64())))
         if carry is not None:
             batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
         rows, stripe, nexts, counts = added(batch)
@@ -250,7 +251,7 @@ def stripes(texts: DataFrame, frequent: DataFrame, k: int, total: int, least: in
         _, codes, hashes = _lang_hashes(often["lang"].combine_chunks())
         hot = np.sort(_keys(hashes[codes], list(np.asarray(often["words"].combine_chunks().flatten()).view(np.uint64).reshape(often.num_rows, -1).T)))
     shared = texts.sparkSession.sparkContext.broadcast((bits, hot))
-    mapped = small_batches(texts).mapInArrow(_stripes(shared, k), "lang string, words array<long>, slice int, nexts array<long>, counts array<long>")
+    mapped = small_batches(texts).mapInArrow(_stripes(shared, k), "lang string, words array<long>, slice int, nexts array<long>, counts array<int>")
     dealt = mapped.repartition("lang", "words", "slice").sortWithinPartitions("lang", "words", "slice")
     return dealt.mapInArrow(lambda batches: _merged(batches, least, k - 1), "lang string, words array<long>, slice int, nexts array<long>, counts array<long>, total long")
 
@@ -297,8 +298,12 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP) -> Da
     cuts = cuts.join(parts.select("lang", F.col("words").alias("right"), F.col("f").alias("r")), ["lang", "right"])
     cuts = cuts.withColumn("score", F.expr("cast(cast(a as decimal(20,0)) * 2000000 as decimal(30,0)) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))"))
     scored = cuts.groupBy("lang", "words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("s")).select("lang", "words", "a", "s.l", "s.r", "s.score")
-    by_score = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
-    near = save(scored.withColumn("place", F.rank().over(by_score)).where(F.col("place") <= top).drop("place"), "near")
+    # In parts of a language first, so that the last step gets a bounded number of rows beside ties.
+    near = scored.withColumn("part", F.pmod(F.xxhash64("words"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        place = F.rank().over(Window.partitionBy(*by).orderBy(F.col("score").desc(), F.col("a").desc()))
+        near = near.withColumn("place", place).where(F.col("place") <= top)
+    near = save(near.drop("place", "part"), "near")
     spelled = near.select("lang", "words", F.posexplode("words").alias("pos", "hash")).join(known.select("lang", "hash", "word"), ["lang", "hash"])
     spelled = spelled.groupBy("lang", "words").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     in_order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
