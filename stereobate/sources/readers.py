@@ -158,8 +158,3 @@ def to_markdown(df: DataFrame, by: str, columns: list[str], order: list[str]) ->
     head = f"| {' | '.join(columns)} |\n|{' --- |' * len(columns)}\n"
     rows = F.array_sort(F.collect_list(F.struct(*order, line.alias("_line"))))
     return df.groupBy(by).agg(F.concat(F.lit(head), F.array_join(F.transform(rows, lambda r: r["_line"]), "\n")).alias("text"))
-
-
-def stream_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Growing JSON Lines files as a stream; a file counts once it is complete in the folder."""
-    return spark.readStream.text(path)
