@@ -5,6 +5,9 @@ Matching needs a group's candidates together; groups are one storey, wall or obj
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -69,38 +72,66 @@ def largest_matching(near: list[list[int]], n_b: int) -> list[int]:
     return mate_a
 
 
+def _by_group(pairs: DataFrame, on: list[str], order: list[str], match) -> DataFrame:
+    """``on, a_id, b_id``: the pairs of each ``on`` that ``match`` keeps of them, in ``order``: it takes the a_ids and b_ids
+    and gives the numbers of pairs. A task reads its groups one after another, so a small group costs no call of its own."""
+    cols = [*on, "a_id", "b_id"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the last group of a batch may go on in the next
+        for batch in batches:
+            df = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            yield kept(df, ends := starts(df))
+            rest = df.iloc[ends[-1] :] if ends else None
+        if rest is not None and len(rest):
+            yield kept(pd.concat([rest]).reset_index(drop=True), [0, len(rest)])
+
+    def starts(df: pd.DataFrame) -> list[int]:
+        """Where each group begins."""
+        if not len(df):
+            return []
+        fresh = (df[on] != df[on].shift()).any(axis=1).to_numpy(copy=True) if on else np.zeros(len(df), bool)
+        fresh[0] = True
+        return np.flatnonzero(fresh).tolist()
+
+    def kept(df: pd.DataFrame, ends: list[int]) -> pd.DataFrame:
+        a, b, found = df.a_id.tolist(), df.b_id.tolist(), []
+        for lo, hi in zip(ends, ends[1:]):
+            found += [lo + i for i in match(a[lo:hi], b[lo:hi])]
+        return df.iloc[found][cols]
+
+    dealt = pairs.repartition(*on) if on else pairs.coalesce(1)
+    return dealt.sortWithinPartitions(*on, *order).select(*cols).mapInPandas(run, pairs.select(*cols).schema)
+
+
 def match_most(pairs: DataFrame, on: list[str]) -> DataFrame:
     """As many candidate pairs as possible with each id used once: ``on, a_id, b_id``."""
-    schema = pairs.select(*on, "a_id", "b_id").schema
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["a_id", "b_id"])
-        (a, a_ids), (b, b_ids) = pd.factorize(df.a_id), pd.factorize(df.b_id)
-        near: list[list[int]] = [[] for _ in a_ids]
-        for u, v in zip(a.tolist(), b.tolist()):
-            near[u].append(v)
-        mates = [(u, v) for u, v in enumerate(largest_matching(near, len(b_ids))) if v >= 0]
-        out = pd.DataFrame({c: df[c].iloc[0] for c in on}, index=range(len(mates)))
-        return out.assign(a_id=[a_ids[u] for u, _ in mates], b_id=[b_ids[v] for _, v in mates])[[*on, "a_id", "b_id"]]
+    def match(a: list, b: list) -> list[int]:
+        a_no, b_no = {x: u for u, x in enumerate(dict.fromkeys(a))}, {x: v for v, x in enumerate(dict.fromkeys(b))}
+        near: list[list[int]] = [[] for _ in a_no]
+        place = {}
+        for i, (x, y) in enumerate(zip(a, b)):
+            near[a_no[x]].append(b_no[y])
+            place[a_no[x], b_no[y]] = i
+        return [place[u, v] for u, v in enumerate(largest_matching(near, len(b_no))) if v >= 0]
 
-    return pairs.groupBy(*on).applyInPandas(run, schema)
+    return _by_group(pairs, on, ["a_id", "b_id"], match)
 
 
 def match_greedy(pairs: DataFrame, on: list[str]) -> DataFrame:
     """Nearest pairs first, then by smaller ids, each id once: ``on, a_id, b_id``."""
-    schema = pairs.select(*on, "a_id", "b_id").schema
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["distance", "a_id", "b_id"])
+    def match(a: list, b: list) -> list[int]:
         used_a, used_b, kept = set(), set(), []
-        for i, (a, b) in enumerate(zip(df.a_id.tolist(), df.b_id.tolist())):
-            if a not in used_a and b not in used_b:
-                used_a.add(a)
-                used_b.add(b)
+        for i, (x, y) in enumerate(zip(a, b)):
+            if x not in used_a and y not in used_b:
+                used_a.add(x)
+                used_b.add(y)
                 kept.append(i)
-        return df.iloc[kept][[*on, "a_id", "b_id"]]
+        return kept
 
-    return pairs.groupBy(*on).applyInPandas(run, schema)
+    return _by_group(pairs, on, ["distance", "a_id", "b_id"], match)
 
 
 def merge_questions(old: DataFrame, new: DataFrame, on: list[str], values: dict[str, float], version: str) -> DataFrame:

@@ -1,9 +1,8 @@
 """Copies of rows, one place for many: results are whole, and the work is done once for equal rows."""
 
-from itertools import product
+from itertools import combinations, product
 
-
-from stereobate.operators import spatial as S
+from stereobate.operators import matching as M, spatial as S
 
 
 def plan_of(df):
@@ -11,7 +10,7 @@ def plan_of(df):
 
 
 def test_covers_tests_equal_places_and_shapes_once(spark):
-    points = [(i, 0.5 + i % 3, 0.5) for i in range(30)]
+    points = [(i, 0.6 + i % 3, 0.5) for i in range(30)]
     boxes = [(100 + i, i % 4 * 0.75, i % 4 * 0.75 + 1.0, 0.0, 1.0) for i in range(40)]
     rows = [(f, [(x0, y0, x1, y0), (x1, y0, x1, y1), (x1, y1, x0, y1), (x0, y1, x0, y0)], x0, x1, y0, y1) for f, x0, x1, y0, y1 in boxes]
     polygons = spark.createDataFrame(rows, "face_id long, sides array<struct<x:double,y:double,x2:double,y2:double>>, x0 double, x1 double, y0 double, y1 double")
@@ -20,3 +19,29 @@ def test_covers_tests_equal_places_and_shapes_once(spark):
     assert sorted(map(tuple, got.collect())) == want
     plan = plan_of(got)
     assert plan[plan.index("size(filter(sides"):].count("Aggregate [") >= 2  # distinct places, distinct shapes
+
+
+def test_matching_reads_many_small_groups_in_one_call(spark):
+    rows = [(g, a, b, float((g * 7 + a * 5 + b * 3) % 11)) for g in range(40) for a in range(1 + g % 4) for b in range(1 + g % 3) if (g + a + b) % 5]
+    pairs = spark.createDataFrame(rows, "g long, a_id long, b_id long, distance double")
+    greedy, most = [], {}
+    for g in range(40):
+        own, used_a, used_b = sorted((d, a, b) for h, a, b, d in rows if h == g), set(), set()
+        for _, a, b in own:
+            if a not in used_a and b not in used_b:
+                used_a.add(a), used_b.add(b), greedy.append((g, a, b))
+        edges = [(a, b) for _, a, b in own]
+        most[g] = max((n for n in range(len(edges) + 1) for c in combinations(edges, n) if len({a for a, _ in c}) == n == len({b for _, b in c})), default=0)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # groups go on over batches
+    try:
+        got = M.match_greedy(pairs, ["g"])
+        assert sorted(map(tuple, got.collect())) == sorted(greedy)
+        found = list(map(tuple, M.match_most(pairs, ["g"]).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(g, a, b) for g, a, b, _ in rows} >= set(found)
+    for g in range(40):
+        own = [(a, b) for h, a, b in found if h == g]
+        assert len(own) == len({a for a, _ in own}) == len({b for _, b in own}) == most[g]
+    assert "FlatMapGroupsInPandas" not in plan_of(got)  # no call for each group
