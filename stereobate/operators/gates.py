@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stereobate.operators.rules import findings
+from stereobate.operators.spatial import cells
 from stereobate.operators.topology import components
 
 
@@ -91,20 +92,21 @@ def captured_uv(lines: DataFrame) -> DataFrame:
 def match_triangles(expected: DataFrame, actual: DataFrame, tol: float) -> DataFrame:
     """``model_id, a, b, error``: triangles of two exports one to one, where each is the other's nearest.
 
-    Both sides: ``model_id, face_id, kind, pts`` (three places). Pairs have one kind and centres in neighbouring cells; the
+    Both sides: ``model_id, face_id, kind, pts`` (three places). Pairs have one kind and centres at most ``tol`` apart; the
     error is the largest corner distance under the best of the three cyclic shifts, at most ``tol``. Equal errors go to the
     smaller ids.
     """
-    size = 4 * tol
+    # No corner is off by more than tol, so no centre is. Cells wide against tol: few actual triangles lie in more than one.
+    size, reach = 16 * tol, 1.01 * tol
 
-    def placed(df: DataFrame, key: str, around: bool) -> DataFrame:
-        cells = [F.floor((F.col("pts")[0][c] + F.col("pts")[1][c] + F.col("pts")[2][c]) / 3 / size).cast("long") for c in "xyz"]
-        out = df.select("model_id", "kind", F.col("face_id").alias(key), F.col("pts").alias(f"{key}_pts"), *[x.alias(f"c{k}") for k, x in enumerate(cells)])
-        for k in range(3 if around else 0):
-            out = out.withColumn(f"c{k}", F.explode(F.array(*[F.col(f"c{k}") + d for d in (-1, 0, 1)])))
-        return out
+    def placed(df: DataFrame, key: str, around: float) -> DataFrame:
+        at = [(F.col("pts")[0][c] + F.col("pts")[1][c] + F.col("pts")[2][c]) / 3 for c in "xyz"]
+        out = df.select("model_id", "kind", F.col("face_id").alias(key), F.col("pts").alias(f"{key}_pts"), *[x.alias(f"m{k}") for k, x in enumerate(at)])
+        return cells(out, [(f"m{k}", f"m{k}") for k in range(3)], size, ["c0", "c1", "c2"], around).withColumnsRenamed({f"m{k}": f"{key}_m{k}" for k in range(3)})
 
-    met = placed(expected, "a", False).join(placed(actual, "b", True), ["model_id", "kind", "c0", "c1", "c2"])
+    met = placed(expected, "a", 0.0).join(placed(actual, "b", reach).hint("merge"), ["model_id", "kind", "c0", "c1", "c2"])
+    for k in range(3):
+        met = met.where(F.abs(F.col(f"a_m{k}") - F.col(f"b_m{k}")) <= reach)
     apart = lambda i, j: F.sqrt(sum(((F.col("a_pts")[i][c] - F.col("b_pts")[j][c]) ** 2 for c in "yz"), (F.col("a_pts")[i]["x"] - F.col("b_pts")[j]["x"]) ** 2))
     error = F.least(*[F.greatest(*[apart(i, (i + shift) % 3) for i in range(3)]) for shift in range(3)])
     met = met.select("model_id", "a", "b", error.alias("error")).where(F.col("error") <= tol)

@@ -4,7 +4,7 @@ from itertools import combinations, product
 
 from pyspark.sql import functions as F
 
-from stereobate.operators import matching as M, spatial as S
+from stereobate.operators import gates as G, matching as M, spatial as S
 
 
 def plan_of(df):
@@ -62,3 +62,24 @@ def test_nearest_drops_far_pairs_before_the_aggregate(spark, monkeypatch):
         assert sorted((r.id, r.other) for r in got.collect()) == want
         first = next(p for p in plans if "min_by" in p)
         assert "<= 0.5" in next(line for line in first.splitlines() if "Join Inner" in line)
+
+
+def faces_of(spark, rows):
+    return spark.createDataFrame(rows, "model_id long, face_id long, pts array<struct<x:double,y:double,z:double>>")
+
+
+def boxed(df):
+    return df.select("*", *[f(F.col(f"pts.{c}")).alias(f"{c}{i}") for c in "xyz" for i, f in enumerate((F.array_min, F.array_max))])
+
+
+def level(x, y, z, size=1.0):
+    return [(x, y, z), (x + size, y, z), (x + size, y + size, z), (x, y + size, z)]
+
+
+def test_triangles_meet_by_centre_without_a_row_for_each_neighbouring_cell(spark):
+    rows = [(1, i, "k", [(i * 0.0131, 0.0, 0.0), (i * 0.0131 + 1.0, 0.0, 0.0), (i * 0.0131, 1.0, 0.0)]) for i in range(60)]
+    moved = [(m, f, k, [(x + (0.0034 if f % 2 else -0.0034), y, z) for x, y, z in pts[1:] + pts[:1]]) for m, f, k, pts in rows]
+    schema = "model_id long, face_id long, kind string, pts array<struct<x:double,y:double,z:double>>"
+    got = G.match_triangles(spark.createDataFrame(rows, schema), spark.createDataFrame(moved, schema), 0.0035)
+    assert sorted((r.a, r.b) for r in got.collect()) == [(i, i) for i in range(60)]
+    assert "explode(array(" not in plan_of(got)  # 27 rows for each triangle
