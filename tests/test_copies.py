@@ -4,7 +4,7 @@ from itertools import combinations, product
 
 from pyspark.sql import functions as F
 
-from stereobate.operators import gates as G, matching as M, spatial as S
+from stereobate.operators import gates as G, matching as M, spatial as S, topology as T
 
 
 def plan_of(df):
@@ -83,3 +83,16 @@ def test_triangles_meet_by_centre_without_a_row_for_each_neighbouring_cell(spark
     got = G.match_triangles(spark.createDataFrame(rows, schema), spark.createDataFrame(moved, schema), 0.0035)
     assert sorted((r.a, r.b) for r in got.collect()) == [(i, i) for i in range(60)]
     assert "explode(array(" not in plan_of(got)  # 27 rows for each triangle
+
+
+def test_components_within_a_model_are_settled_in_one_pass(spark):
+    links = [(m, m * 1000 + a, m * 1000 + b) for m in range(5) for a in range(1, 40) for b in [(a * 7 + m) % 41] if a != b and (a + m) % 4]
+    nodes = sorted({m * 1000 + i for m in range(5) for i in range(41)})
+    least = {n: n for n in nodes}
+    for _ in nodes:
+        for _, a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame(links, "m long, a long, b long")
+    for most in (3, 1000):  # the smaller goes on to the rounds
+        got = T.components(spark.createDataFrame([(n,) for n in nodes], "node long"), df, within="m", most=most)
+        assert {r.node: r.component for r in got.collect()} == least
