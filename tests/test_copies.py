@@ -4,7 +4,7 @@ from itertools import combinations, product
 
 from pyspark.sql import functions as F
 
-from stereobate.operators import gates as G, matching as M, spatial as S, topology as T
+from stereobate.operators import gates as G, matching as M, shells as H, spatial as S, topology as T
 
 
 def plan_of(df):
@@ -85,6 +85,14 @@ def test_triangles_meet_by_centre_without_a_row_for_each_neighbouring_cell(spark
     assert "explode(array(" not in plan_of(got)  # 27 rows for each triangle
 
 
+def test_covered_sides_leave_no_pairs(spark):
+    f = boxed(faces_of(spark, [(1, 1, level(0.0, 0.0, 0.0)), (1, 2, level(0.0, 0.0, 0.0, 3.0)), (1, 3, level(2.5, 0.0, 0.0))]))
+    got = H.uncovered_edges(f, 0.01, 1.0)
+    assert sorted((r.face_id, tuple(r.p), tuple(r.q)) for r in got.collect() if r.face_id == 1) == []
+    assert sum(r.face_id == 3 for r in got.collect()) == 3
+    assert plan_of(got).count("Join ") == 1 and "Join LeftAnti" in plan_of(got)
+
+
 def test_components_within_a_model_are_settled_in_one_pass(spark):
     links = [(m, m * 1000 + a, m * 1000 + b) for m in range(5) for a in range(1, 40) for b in [(a * 7 + m) % 41] if a != b and (a + m) % 4]
     nodes = sorted({m * 1000 + i for m in range(5) for i in range(41)})
