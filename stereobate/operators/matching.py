@@ -149,8 +149,8 @@ def cell_clusters(cells: DataFrame, reach: int) -> DataFrame:
     step = F.explode(F.sequence(F.lit(-reach), F.lit(reach)))
     own = cells.select("model_id", "i", "j").distinct()
     near = own.withColumn("di", step).withColumn("dj", step).select("model_id", (F.col("i") + F.col("di")).alias("i"), (F.col("j") + F.col("dj")).alias("j"), F.xxhash64("model_id", "i", "j").alias("a"))
-    links = near.join(own.withColumn("b", F.xxhash64("model_id", "i", "j")), ["model_id", "i", "j"]).select("a", "b")
-    label = components(own.select(F.xxhash64("model_id", "i", "j").alias("node")), links)
+    links = near.join(own.withColumn("b", F.xxhash64("model_id", "i", "j")), ["model_id", "i", "j"]).select("model_id", "a", "b").where("a < b")
+    label = components(own.select(F.xxhash64("model_id", "i", "j").alias("node")), links, within="model_id")
     return own.withColumn("node", F.xxhash64("model_id", "i", "j")).join(label, "node").drop("node")
 
 

@@ -112,3 +112,13 @@ def test_components_within_a_model_are_settled_in_one_pass(spark):
     for most in (3, 1000):  # the smaller goes on to the rounds
         got = T.components(spark.createDataFrame([(n,) for n in nodes], "node long"), df, within="m", most=most)
         assert {r.node: r.component for r in got.collect()} == least
+
+
+def test_merged_rectangles_form_each_pair_once(spark, monkeypatch):
+    rects = spark.createDataFrame([(1, i, i * 0.5, i * 0.5 + 2.5, 0.0, 3.0) for i in range(6)], "m long, face_id long, u0 double, u1 double, v0 double, v1 double")
+    seen, components = [], H.components
+    monkeypatch.setattr(H, "components", lambda nodes, links, **more: seen.append((links, more)) or components(nodes, links, **more))
+    assert [(r.first, r.pieces) for r in H.merge_rectangles(rects, ["m"], 0.3, 0.9, False, 1.0).collect()] == [(0, 6)]
+    (links, more) = seen[0]
+    assert more == {"within": "on"} and sorted((r.a, r.b) for r in links.collect()) == list(combinations(range(6), 2))[:15]
+    assert "Aggregate" not in plan_of(links)
