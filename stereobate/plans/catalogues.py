@@ -127,8 +127,8 @@ def c14_t_junctions(spark, sf):
     place = lambda c: F.xxhash64(c)
     sides = H.side_uses(panel_faces(spark, sf)).select("model_id", place("p").alias("a"), place("q").alias("b"), *[F.col(f"{e}.{c}").alias(f"{k}{c}") for k, e in (("a", "p"), ("b", "q")) for c in "xyz"])
     ends = H.sides_of(panel_faces(spark, sf)).select("model_id", "p").distinct().select("model_id", place("p").alias("vid"), "p.*")
-    met = S.t_junctions(sides, ends, 0.5, 0.001).groupBy("model_id", "a", "b").agg(F.count("*").alias("vertices"))
-    return met.join(sides, ["model_id", "a", "b"]).select("model_id", *[F.col(f"{k}{c}").alias({"by": "by_"}.get(f"{k}{c}", f"{k}{c}")) for k in "ab" for c in "xyz"], "vertices")
+    met = S.t_junctions(sides, ends, 0.5, 0.001).groupBy("model_id", "a", "b", *[f"{k}{c}" for k in "ab" for c in "xyz"]).agg(F.count("*").alias("vertices"))
+    return met.select("model_id", *[F.col(f"{k}{c}").alias({"by": "by_"}.get(f"{k}{c}", f"{k}{c}")) for k in "ab" for c in "xyz"], "vertices")
 
 
 @R.add("c17_nest", _SMALL + """

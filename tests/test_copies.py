@@ -122,3 +122,12 @@ def test_merged_rectangles_form_each_pair_once(spark, monkeypatch):
     (links, more) = seen[0]
     assert more == {"within": "on"} and sorted((r.a, r.b) for r in links.collect()) == list(combinations(range(6), 2))[:15]
     assert "Aggregate" not in plan_of(links)
+
+
+def test_junctions_meet_once_and_bring_their_side(spark):
+    ends = "ax double, ay double, az double, bx double, by double, bz double"
+    sides = spark.createDataFrame([(1, 0, 9, 0.0, 0.0, 0.0, 3.0, 0.0, 0.0), (1, 0, 8, 0.0, 0.0, 0.0, 0.0, 2.0, 0.0)], f"model_id long, a long, b long, {ends}")
+    places = [(0, 0.0, 0.0, 0.0), (9, 3.0, 0.0, 0.0), (8, 0.0, 2.0, 0.0), (5, 0.5, 0.0, 0.0), (6, 1.5, 0.0005, 0.0), (7, 0.0, 1.0, 0.0), (4, 1.0, 1.0, 0.0)]
+    got = S.t_junctions(sides, spark.createDataFrame([(1, *p) for p in places], "model_id long, vid long, x double, y double, z double"), 0.5, 0.001)
+    assert sorted((r.b, r.vid, r.bx, r.by) for r in got.collect()) == [(8, 7, 0.0, 2.0), (9, 5, 3.0, 0.0), (9, 6, 3.0, 0.0)]
+    assert "Aggregate" not in plan_of(got)
