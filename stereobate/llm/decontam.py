@@ -92,12 +92,14 @@ def _literal_windows(hashes: Column, sizes: list[int]) -> Column:
 
 
 def _template_windows(words: Column, sizes: list[int]) -> Column:
-    """``array<struct<kind, n, rows>>``, rows of (pos, hash): windows that begin or end with a placeholder; others are literal anyway."""
+    """``array<struct<kind, n, rows>>``, rows of (pos, hash): windows that hold a placeholder, at either end or inside; others are literal anyway."""
     slots = F.filter(F.transform(words, lambda x, i: F.when(x["kind"].isNotNull(), i)), lambda i: i.isNotNull())
 
     def of(n: int, t: Column, at: Column) -> Column:
-        both = F.filter(F.concat(at, F.transform(at, lambda p: p - (n - 1))), lambda p: (p >= 0) & (p + n <= F.size(t)))
-        return F.transform(both, lambda p: F.struct(p.alias("pos"), F.xxhash64(F.lit(True), F.slice(t, p + 1, F.lit(n))).alias("hash")))
+        # A placeholder gives the windows that no placeholder before it lies in, so each comes once.
+        since = lambda p, k: F.greatest(p - (n - 1), F.coalesce(F.get(at, k - 1) + 1, F.lit(0)), F.lit(0))
+        each = F.flatten(F.transform(at, lambda p, k: _let(F.struct(since(p, k).alias("lo"), F.least(p, F.size(t) - n).alias("hi")), lambda s: F.when(s["lo"] <= s["hi"], F.sequence(s["lo"], s["hi"])).otherwise(F.array().cast("array<int>")))))
+        return F.transform(each, lambda p: F.struct(p.alias("pos"), F.xxhash64(F.lit(True), F.slice(t, p + 1, F.lit(n))).alias("hash")))
 
     readings = F.transform(words, lambda x: F.coalesce(x["kind"].cast("long"), x["w"]))
     return _let(readings, lambda t: _let(slots, lambda at: F.array(*[F.struct(F.lit("t").alias("kind"), F.lit(n).alias("n"), of(n, t, at).alias("rows")) for n in sizes])))

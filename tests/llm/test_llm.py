@@ -189,6 +189,16 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert [r.doc_id for r in decontam.leaks(d, bench).collect()] == [0]
 
 
+def test_template_windows_with_a_placeholder_inside(spark):
+    kinds = [None, None, None, None, "n", None, None, None, None, None, "n", "n", None, None]
+    df = spark.createDataFrame([([(None if k is None else 7, i) for i, k in enumerate(kinds)],)], "x array<struct<kind:int,w:bigint>>")
+    found = {r.n: [x.pos for x in r.rows] for r in df.select(decontam._template_windows(F.col("x"), [3, 8, 20]).alias("t")).first().t}
+    assert found == {n: [p for p in range(len(kinds) - n + 1) if any(kinds[p : p + n])] for n in (3, 8, 20)}
+    bench = spark.createDataFrame([(1, "every morning around 17 students gather near the fountain")], "item_id long, text string")
+    d = spark.createDataFrame([(0, "It is said that every morning around 42 students gather near the fountain and sing.")], "doc_id long, text string")
+    assert [r.doc_id for r in decontam.leaks(d, bench).collect()] == [0]
+
+
 def vectors(n=900, dim=16):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(n, dim)).astype(np.float32)
