@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from stereobate.operators import matching as M, ordered as O, spatial as S, tables as K, topology as T
+from stereobate.operators.topology import dealt
 from stereobate.plans.binding import Registry, boxes, corners, findings, intervals, panels, points, table, vertices, with_
 
 R = Registry()
@@ -304,12 +305,15 @@ def k6_compare_groups(spark, sf):
     k AS (SELECT c.face_id, c.b - c.a AS w, EXISTS (SELECT 1 FROM intervals i WHERE i.face_id = c.face_id AND i.lo <= c.a AND i.hi >= c.b) AS hole FROM cells c WHERE b IS NOT NULL)
     SELECT face_id, count(*) FILTER (NOT hole) AS wall_quads, count(*) FILTER (hole) AS holes, coalesce(sum(w) FILTER (NOT hole), 0) AS wall_length FROM k GROUP BY face_id""")
 def n1_wall_quads(spark, sf):
-    i = intervals(spark, sf)
+    # Dealt by face once: cuts, cells and the intervals that hold them are windows and groups over the same tasks.
+    i = dealt(intervals(spark, sf).select("face_id", "lo", "hi"), "face_id")
+    at = lambda c, to=F.lit(None).cast("double"): F.struct(c.alias("c"), to.alias("to"))
+    ends = i.select("face_id", F.explode(F.array(at(F.col("lo"), F.when(F.col("lo").isNotNull(), F.col("hi"))), at(F.col("hi")), at(F.lit(0.0)), at(F.lit(70.0)))).alias("e"))
     w = Window.partitionBy("face_id").orderBy("c")
-    cuts = i.select("face_id", F.explode(F.array("lo", "hi", F.lit(0.0), F.lit(70.0))).alias("c")).distinct()
-    cells = cuts.withColumn("b", F.lead("c").over(w)).where("b is not null").withColumnRenamed("c", "a")
-    holes = cells.join(i.select("face_id", "lo", "hi"), "face_id").where("lo <= a and hi >= b").select("face_id", "a").distinct().withColumn("hole", F.lit(True))
-    k = cells.join(holes, ["face_id", "a"], "left").withColumn("hole", F.coalesce("hole", F.lit(False))).withColumn("w", F.col("b") - F.col("a"))
+    cuts = ends.groupBy("face_id", F.col("e.c").alias("c")).agg(F.max("e.to").alias("to"))
+    # An interval that begins at or before a cell holds it if it reaches the cell's end.
+    reach = F.max("to").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    k = cuts.withColumn("b", F.lead("c").over(w)).withColumn("hole", F.coalesce(reach >= F.col("b"), F.lit(False))).where("b is not null").withColumn("w", F.col("b") - F.col("c"))
     n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
     return k.groupBy("face_id").agg(n(~F.col("hole")).alias("wall_quads"), n(F.col("hole")).alias("holes"), F.sum(F.when(~F.col("hole"), F.col("w")).otherwise(0.0)).alias("wall_length"))
 
