@@ -20,11 +20,13 @@ def covered(rects: DataFrame, on: list[str], roles: list[str], size: float) -> D
     inside = lambda c, t: F.least(F.greatest(F.col(c), F.col(t) * size), (F.col(t) + 1) * size)
     placed = placed.select(*tile, "role", inside("u0", "ti").alias("u0"), inside("u1", "ti").alias("u1"), inside("v0", "tj").alias("v0"), inside("v1", "tj").alias("v1")).where("u0 < u1 and v0 < v1")
     placed = placed.groupBy(*tile, "role", "u0", "u1", "v0", "v1").agg(F.count("*").alias("n"))
-    ends = placed.select(*tile, F.explode(F.array("u0", "u1")).alias("s0")).distinct()
-    slabs = ends.withColumn("s1", F.lead("s0").over(Window.partitionBy(*tile).orderBy("s0"))).where("s1 is not null")
-    met = placed.join(slabs, tile).where("s0 >= u0 and s1 <= u1")
-    counted = lambda sign: [(F.when(F.col("role") == r, F.col("n")).otherwise(0) * sign).alias(r) for r in roles]
-    steps = met.select(*tile, "s0", "s1", F.col("v0").alias("v"), *counted(1)).unionByName(met.select(*tile, "s0", "s1", F.col("v1").alias("v"), *counted(-1)))
+    # A tile's rectangles and the ends of its slabs are one row: no join, and no shuffle where rows lie by a column of ``on``.
+    tiles = placed.groupBy(*tile).agg(F.collect_list(F.struct("role", "u0", "u1", "v0", "v1", "n")).alias("r"), F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.array("u0", "u1"))))).alias("cuts"))
+    spans = F.filter("cuts", lambda c: (c >= F.col("r.u0")) & (c <= F.col("r.u1")))
+    each = tiles.select(*tile, "cuts", F.explode("r").alias("r")).select(*tile, "r.role", "r.v0", "r.v1", "r.n", spans.alias("c"))
+    slabs = F.arrays_zip(F.slice("c", F.lit(1), F.size("c") - 1).alias("s0"), F.slice("c", F.lit(2), F.size("c") - 1).alias("s1"))
+    met = each.select(*tile, "role", "v0", "v1", "n", F.explode(slabs).alias("s")).select(*tile, "s.s0", "s.s1", "role", F.explode(F.array(F.struct(F.col("v0").alias("v"), F.col("n")), F.struct(F.col("v1").alias("v"), (-F.col("n")).alias("n")))).alias("e"))
+    steps = met.select(*tile, "s0", "s1", "e.v", *[F.when(F.col("role") == r, F.col("e.n")).otherwise(0).alias(r) for r in roles])
     steps = steps.groupBy(*tile, "s0", "s1", "v").agg(*[F.sum(r).alias(r) for r in roles])
     sweep = Window.partitionBy(*tile, "s0", "s1").orderBy("v")
     pieces = steps.select(*on, F.col("s0").alias("u0"), F.col("s1").alias("u1"), F.col("v").alias("v0"), F.lead("v").over(sweep).alias("v1"), *[F.sum(r).over(sweep).alias(r) for r in roles])

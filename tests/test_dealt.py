@@ -21,11 +21,12 @@ def test_rows_are_dealt_by_their_number(spark, few):
     assert T.dealt(spark.range(0), "id").rdd.getNumPartitions() == 1
 
 
-def test_wall_quads_shuffle_once(spark, sf, few):
-    assert len(shuffles(catalog.QUERIES["n1_wall_quads"](spark, sf))) == 1
+@pytest.mark.parametrize("name", ["n1_wall_quads", "k8_profile_missing"])
+def test_one_shuffle_is_all(spark, sf, few, name):
+    assert len(shuffles(catalog.QUERIES[name](spark, sf))) == 1
 
 
-@pytest.mark.parametrize("name", ["b21_box_parts"])
+@pytest.mark.parametrize("name", ["b21_box_parts", "k8_profile_missing"])
 def test_no_shuffle_depends_on_the_session(spark, sf, few, name):
     found = shuffles(catalog.QUERIES[name](spark, sf))
     assert found and all("REPARTITION_BY_NUM" in line for line in found)
