@@ -30,3 +30,10 @@ def test_one_shuffle_is_all(spark, sf, few, name):
 def test_no_shuffle_depends_on_the_session(spark, sf, few, name):
     found = shuffles(catalog.QUERIES[name](spark, sf))
     assert found and all("REPARTITION_BY_NUM" in line for line in found)
+
+
+def test_segments_are_cut_where_they_were_dealt(spark, sf, few):
+    from stereobate.operators.rings import noded
+    from stereobate.plans.binding import plan_segments
+
+    assert len(shuffles(noded(plan_segments(spark, sf), ["model_id"], 1.0))) == 1
