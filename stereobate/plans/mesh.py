@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stereobate.functions.exprs import udim
 from stereobate.operators import topology as T
-from stereobate.plans.binding import Registry, corners, levels, points, vertices, with_
+from stereobate.plans.binding import Registry, corners, levels, points, table, vertices, with_
 
 R = Registry()
 WELD = 0.5
@@ -16,8 +16,12 @@ def _tris(spark, sf):
     return T.triangulate(corners(spark, sf))
 
 
+def _lines(spark, sf):
+    return table(spark, sf, "lineitem")
+
+
 def _tri_points(spark, sf):
-    return T.face_corners(_tris(spark, sf), vertices(spark, sf))
+    return T.face_corners(_tris(spark, sf), vertices(spark, sf), _lines(spark, sf))
 
 
 _WELDED = "welded AS (SELECT vid, min(vid) OVER (PARTITION BY round_even(x / 0.5, 0), round_even(y / 0.5, 0), round_even(z / 0.5, 0)) AS weld_id FROM vertices)"
@@ -31,12 +35,12 @@ _USES = """uses AS (SELECT e.model_id, least(p.weld_id, q.weld_id) AS a, greates
            CASE WHEN count(*) FILTER (uses > 2) = 0 AND count(*) FILTER (uses = 1) <= 0 THEN 'pass' ELSE 'fail' END AS status
     FROM uses GROUP BY model_id""")
 def mesh_edge_gate(spark, sf):
-    return T.edge_gate(T.edge_uses(T.edges(corners(spark, sf)), T.weld(vertices(spark, sf), WELD)))
+    return T.edge_gate(T.edge_uses(T.edges(corners(spark, sf)), T.weld(vertices(spark, sf), WELD), _lines(spark, sf)))
 
 
 @R.add("d3_edge_uses", with_("edges", "vertices") + f", {_WELDED}, {_USES} SELECT * FROM uses")
 def d3_edge_uses(spark, sf):
-    return T.edge_uses(T.edges(corners(spark, sf)), T.weld(vertices(spark, sf), WELD))
+    return T.edge_uses(T.edges(corners(spark, sf)), T.weld(vertices(spark, sf), WELD), _lines(spark, sf))
 
 
 @R.add("d2_weld", with_("vertices") + f", {_WELDED} SELECT * FROM welded")
@@ -145,7 +149,7 @@ def d5_components(spark, sf):
     named AS (SELECT model_id, vid, x, min(r) AS fan FROM reach GROUP BY ALL)
     SELECT model_id, vid, count(DISTINCT fan) AS fans FROM named GROUP BY model_id, vid HAVING count(DISTINCT fan) > 1""")
 def d7_fan_vertices(spark, sf):
-    return T.fan_vertices(_tris(spark, sf))
+    return T.fan_vertices(_tris(spark, sf), counted=_lines(spark, sf))
 
 
 @R.add("d14_dominant_planes", with_("tri_points") + f""", {_MEASURES},
@@ -154,7 +158,7 @@ def d7_fan_vertices(spark, sf):
           UNION ALL SELECT model_id, face_id, 'z', round_even(az, 2), size/2 FROM m2 WHERE size > 0 AND abs(nz_) > 0.999*size)
     SELECT model_id, axis, coordinate, round(sum(area), 6) AS area, count(DISTINCT face_id) AS faces FROM p GROUP BY model_id, axis, coordinate HAVING sum(area) >= 0.5""")
 def d14_dominant_planes(spark, sf):
-    return T.dominant_planes(_tri_points(spark, sf), 0.5).withColumn("area", F.round("area", 6))
+    return T.dominant_planes(_tri_points(spark, sf), 0.5, _lines(spark, sf)).withColumn("area", F.round("area", 6))
 
 
 @R.add("d16_quantiles", with_("tri_points") + f", {_MEASURES} SELECT model_id, quantile_cont(size/2, 0.5) AS p50, quantile_cont(size/2, 0.9) AS p90, quantile_cont(size/2, 0.99) AS p99, count(*) AS n FROM m2 GROUP BY model_id")

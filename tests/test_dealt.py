@@ -37,3 +37,8 @@ def test_segments_are_cut_where_they_were_dealt(spark, sf, few):
     from stereobate.plans.binding import plan_segments
 
     assert len(shuffles(noded(plan_segments(spark, sf), ["model_id"], 1.0))) == 1
+
+
+@pytest.mark.parametrize("name, steps", [("mesh_edge_gate", 4), ("d3_edge_uses", 4), ("d14_dominant_planes", 5), ("d7_fan_vertices", 2)])
+def test_joins_and_groups_of_corners_are_dealt_by_their_number(spark, sf, few, name, steps):
+    assert sum("REPARTITION_BY_NUM" in line for line in shuffles(catalog.QUERIES[name](spark, sf))) == steps
