@@ -199,3 +199,14 @@ def test_tail_gives_each_line_once_and_holds_back_a_torn_one(spark, tmp_path):
     assert step() == sorted([*second, '{"t": "ä"}'])
     a.write_bytes(b"new\n")  # replaced by a shorter file
     assert step() == sorted([*second, '{"t": "ä"}', "new"])
+
+
+def test_hull_corners_are_extremes_of_their_u(spark):
+    import random
+
+    from stereobate.operators import stacks
+
+    rnd = random.Random(3)
+    pts = [(m, float(rnd.randrange(9)), float(rnd.randrange(9))) for m in range(4) for _ in range(80)]
+    got = {r.model_id: {(p.u, p.v) for p in r.hull} for r in stacks.hulls(spark.createDataFrame(pts, "model_id long, u double, v double")).collect()}
+    assert got == {m: {tuple(p) for p in stacks._hull(stacks.np.array([q[1:] for q in pts if q[0] == m])).tolist()} for m in range(4)}
