@@ -19,7 +19,7 @@ def unbroadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", ["c14_t_junctions"])
+@pytest.mark.parametrize("name", ["c14_t_junctions", "d12_silhouettes"])
 def test_nothing_is_dealt_twice(unbroadcast, sf, name):
     assert reshuffles(catalog.QUERIES[name](unbroadcast, sf)) == []
 
