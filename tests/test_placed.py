@@ -1,8 +1,11 @@
 """Queries over panels deal the lines by model once: no join, group or window shuffles them again."""
 
+import re
+
 import pytest
 
 from stereobate import catalog
+from stereobate.plans import catalogues, gates, shells, silhouettes
 from stereobate.plans.binding import REDEAL
 
 
@@ -13,17 +16,26 @@ def reshuffles(df):
 
 
 @pytest.fixture
-def unbroadcast(spark):
+def unbroadcast(spark, monkeypatch):
+    """As for large tables: no broadcast, and lines for more than a few tasks."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for plans in (catalogues, gates, shells, silhouettes):
+        monkeypatch.setattr(plans, "FEW", 200)
     yield spark
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", ["c14_t_junctions", "d12_silhouettes"])
+@pytest.mark.parametrize("name", ["c14_t_junctions", "d12_silhouettes", "k5_face_gate", "c15_uncovered_edges"])
 def test_nothing_is_dealt_twice(unbroadcast, sf, name):
     assert reshuffles(catalog.QUERIES[name](unbroadcast, sf)) == []
 
 
+def test_matches_are_dealt_once(unbroadcast, sf):
+    # One row for each model is brought together for the report.
+    again = reshuffles(catalog.QUERIES["c8_match_triangles"](unbroadcast, sf))
+    assert all(re.search(r"hashpartitioning\(model_id#\d+L, \d+\)", line) for line in again)
+
+
 def test_other_queries_leave_joins_to_spark(spark, sf):
     catalog.QUERIES["c14_t_junctions"](spark, sf)
     assert spark.conf.get(REDEAL) == "false"
