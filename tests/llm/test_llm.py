@@ -270,6 +270,30 @@ def test_language_model_counts(docs, empty):
     assert lm.lm_scores(empty, ranks, P.PATTERN).count() == 0
 
 
+def test_language_model_learns_from_texts_beyond_its_first_sample(spark, monkeypatch):
+    import public_tokenizers as P
+
+    ranks = lm.read_ranks(tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    monkeypatch.setattr(lm, "SAMPLE", 1)
+    held = lambda i: binascii.crc32(str(i).encode()) % 7 == 2
+    rng, pairs = random.Random(5), [("red", "house"), ("green", "tree"), ("blue", "river"), ("old", "stone")]
+    ordered = [" ".join(w for _ in range(40) for w in rng.choice(pairs)) for _ in range(40)]
+    mixed = [" ".join(rng.sample(t.split(), 80)) for t in ordered]  # the same words, so the same counts
+    ids = [i for i in range(1000) if not held(i)][: len(ordered)]
+    asked = next(i for i in range(1000, 2000) if held(i))
+    # One text has the least draw of all, so that the first sample is the same.
+    drawn = spark.createDataFrame([(i, "stone") for i in range(2000, 8000) if not held(i)], "doc_id long, text string")
+    first = drawn.orderBy(F.xxhash64("doc_id", "text")).first()
+    scores = []
+    for texts in (ordered, mixed):
+        rows = [*zip(ids, texts), (first.doc_id, first.text), (asked, " ".join(w for p in pairs * 5 for w in p))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        assert docs.where(f"doc_id <> {asked}").orderBy(F.xxhash64("doc_id", "text")).first().doc_id == first.doc_id
+        scores.append({r.doc_id: r for r in lm.lm_scores(docs, ranks, P.PATTERN).collect()}[asked])
+    assert scores[0].base_score == pytest.approx(scores[1].base_score)
+    assert scores[0].score > scores[1].score + 0.01
+
+
 def test_attention_is_causal_and_sums_to_one():
     net = lm.Network(50)
     classes = (np.arange(50) % lm.CLASSES).astype(np.int32)
